@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,17 +22,38 @@ from docfold.functions.status import (
     status_of,
     success_rate,
 )
-from docfold.operators.keys import ROWS, key_counts, rows_with_keys, unmatched_counts
+from docfold.operators.keys import ROWS, key_counts, linked_counts, rows_with_keys, unmatched_counts
 from docfold.specs import TableSpec
 
+# A failing task reaches Python either as a Spark exception or, for some parse errors, as the plain Java one.
+RUN_ERRORS = (PySparkException, Py4JJavaError)
+
 RESULT_SCHEMA = "check_name string, check_type string, table_name string, measure bigint, expected bigint, status string"
 
 
+@dataclass(frozen=True, eq=False)
+class Link:
+    """Rows of ``left`` that need a match in ``right``."""
+
+    left: DataFrame
+    right: DataFrame
+    left_keys: tuple[str, ...]
+    right_keys: tuple[str, ...]
+
+    @property
+    def identity(self) -> tuple:
+        return (id(self.left), self.left_keys, id(self.right), self.right_keys)
+
+    @property
+    def reverse(self) -> Link:
+        return Link(self.right, self.left, self.right_keys, self.left_keys)
+
+
 @dataclass(frozen=True, eq=False)
 class Check:
     """One rule. ``terms`` are (side, rows, aggregate): side is ``measure`` or ``expected``, which is 0 if not given.
 
-    ``offending`` builds the rows that break the rule.
+    ``offending`` builds the rows that break the rule. ``link`` names the two sides of a check between tables.
     """
 
     name: str
@@ -40,6 +62,7 @@ class Check:
     severity: str
     terms: Callable[[], list[tuple[str, DataFrame, Column]]]
     offending: Callable[[], DataFrame] | None = field(default=None)
+    link: Link | None = field(default=None)
 
 
 def unique(df: DataFrame, keys: Sequence[str], name: str, table: str, severity: str = FAIL) -> Check:
@@ -87,6 +110,7 @@ def foreign_key(
         name, kind, table, severity,
         lambda: [("measure", orphans(), F.sum(ROWS))],
         lambda: rows_with_keys(child, orphans(), child_keys),
+        Link(child, parent, tuple(child_keys), tuple(parent_keys)),
     )
 
 
@@ -131,16 +155,17 @@ def violations(check: Check) -> DataFrame:
 def run_suite(checks: Sequence[Check]) -> DataFrame:
     """One row per check, in order, as one plan.
 
-    Aggregates over the same DataFrame share one scan. A check that cannot be planned is reported with status ERROR
-    instead of being left out.
+    Aggregates over the same DataFrame share one scan, and two checks that compare the same tables in opposite
+    directions share one join. A check that cannot be planned is reported with status ERROR instead of being left out.
     """
     if not checks:
         raise ValueError("an empty suite proves nothing")
+    both_ways = _two_way_terms(checks)
     scans: dict[int, tuple[DataFrame, list[Column]]] = {}
     broken: list[tuple[int, Check]] = []
     for place, check in enumerate(checks):
         try:
-            terms = check.terms()
+            terms = both_ways.get(place) or check.terms()
             for _, df, value in terms:
                 df.agg(value)
         except PySparkException:
@@ -167,6 +192,24 @@ def run_suite(checks: Sequence[Check]) -> DataFrame:
     )
 
 
+def _two_way_terms(checks: Sequence[Check]) -> dict[int, list[tuple[str, DataFrame, Column]]]:
+    """Terms by place for pairs of checks such as "every child has a parent" and "every parent has a child"."""
+    places = {c.link.identity: i for i, c in enumerate(checks) if c.link}
+    terms = {}
+    for i, check in enumerate(checks):
+        other = places.get(check.link.reverse.identity) if check.link else None
+        if other is None or i in terms or other in terms or other == i:
+            continue
+        link = check.link
+        try:
+            linked = linked_counts(link.left, link.right, link.left_keys, link.right_keys)
+        except PySparkException:
+            continue
+        terms[i] = [("measure", linked, F.sum(F.when(F.col("__right").isNull(), F.col("__left"))))]
+        terms[other] = [("measure", linked, F.sum(F.when(F.col("__left").isNull(), F.col("__right"))))]
+    return terms
+
+
 def _labels(place: int, check: Check) -> list[Column]:
     return [
         F.lit(place).alias("place"),
@@ -191,12 +234,12 @@ def evaluate(checks: Sequence[Check]) -> DataFrame:
     spark = SparkSession.active()
     try:
         rows = [tuple(r) for r in run_suite(checks).collect()]
-    except PySparkException:
+    except RUN_ERRORS:
         rows = []
         for check in checks:
             try:
                 rows += [tuple(r) for r in run_suite([check]).collect()]
-            except PySparkException:
+            except RUN_ERRORS:
                 rows.append((check.name, check.kind, check.table, None, 0, ERROR))
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 

@@ -30,25 +30,24 @@ def cast_rejects(raw: DataFrame, spec: FlattenSpec, doc: str = "raw_data") -> Da
 def elements(raw: DataFrame, array_path: str, doc: str = "raw_data") -> DataFrame:
     """One row per array element beside the document's own columns: ``pos``, ``key`` and ``value`` are added.
 
-    Documents with an empty or missing array drop out.
+    Documents with an empty or missing array drop out. They do so after the explosion: a filter before it would make
+    Spark parse a document that is still text twice.
     """
     array = F.variant_get(F.col(doc).outer(), F.lit(array_path), "variant")
-    return raw.lateralJoin(raw.sparkSession.tvf.variant_explode(array))
+    return raw.lateralJoin(raw.sparkSession.tvf.variant_explode_outer(array)).where(F.col("pos").isNotNull())
 
 
 def bridge(raw: DataFrame, spec: BridgeSpec, doc: str = "raw_data", strict: bool = True, load_ts=None) -> DataFrame:
     """Distinct (parent, child) pairs from an array of references.
 
-    Duplicates are removed before the shuffle as well as after it. A reference without a key gives a NULL child,
-    which ``reject_null_keys`` routes away.
+    The parent key is read once per document, before the explosion. Duplicates are removed before the shuffle as well
+    as after it. A reference without a key gives a NULL child, which ``reject_null_keys`` routes away.
     """
+    parent = field(doc, spec.parent.path, spec.parent.type, strict).alias(spec.parent.column)
     pairs = (
-        elements(raw, spec.array_path, doc)
+        elements(raw.select(parent, doc), spec.array_path, doc)
         .where(is_present("value"))
-        .select(
-            field(doc, spec.parent.path, spec.parent.type, strict).alias(spec.parent.column),
-            _child_key(spec, strict).alias(spec.child_column),
-        )
+        .select(spec.parent.column, _child_key(spec, strict).alias(spec.child_column))
         .dropDuplicates([spec.parent.column, spec.child_column])
     )
     return pairs.withColumn(spec.stamp, load_time(load_ts)) if spec.stamp else pairs

@@ -62,3 +62,17 @@ def unmatched_counts(left: DataFrame, right: DataFrame, left_keys: Sequence[str]
     """
     known, names = renamed_keys(key_counts(right, right_keys), right_keys)
     return key_counts(left, left_keys).join(known, all_equal(left_keys, names), "left_anti")
+
+
+def linked_counts(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str]) -> DataFrame:
+    """``(__left, __right)``: rows per key on both sides, NULL where the other side has none.
+
+    One join that tells what is unmatched in either direction.
+    """
+    sides = []
+    for name, df, keys in (("left", left, left_keys), ("right", right, right_keys)):
+        names = [f"__{name}_key{i}" for i in range(len(keys))]
+        counted = key_counts(df, keys)
+        sides.append((counted.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(ROWS).alias(f"__{name}")), names))
+    (one, one_keys), (other, other_keys) = sides
+    return one.join(other, all_equal(one_keys, other_keys), "full_outer").select("__left", "__right")

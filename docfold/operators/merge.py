@@ -17,11 +17,13 @@ ACTIONS = ("update", "insert", "keep")
 
 
 def reject_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows with a complete key, rows without)."""
-    missing = F.lit(False)
-    for k in keys:
-        missing = missing | F.col(k).isNull()
-    return df.where(~missing), df.where(missing)
+    """(rows with a complete key, rows without).
+
+    Missing parts are counted in one expression. As separate conditions, the one on a parent key would be pushed below
+    the explosion of its document and parse that document a second time.
+    """
+    missing = sum((F.col(k).isNull().cast("int") for k in keys), F.lit(0))
+    return df.where(missing == 0), df.where(missing > 0)
 
 
 def merge_conflicts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -34,8 +36,7 @@ def merge_conflicts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -
 def guarded(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``source``, failing at run time if a stored key is updated more than once."""
     clashes = merge_conflicts(target, source, keys).agg(F.count(F.lit(1))).scalar()
-    message = F.lit(f"several source rows update the same target row, key {', '.join(keys)}")
-    return source.where(F.when(clashes > 0, F.raise_error(message)).otherwise(F.lit(True)))
+    return source.where(F.when(clashes > 0, F.raise_error(_clash_message(keys))).otherwise(F.lit(True)))
 
 
 def upsert(
@@ -49,20 +50,34 @@ def upsert(
     """Matched rows take the source's values, NULLs included; other source rows are inserted; other target rows stay.
 
     If every non-key column is updated and the target holds each key once, the result is the source plus the target
-    rows it does not touch: one anti join that moves only the source's keys. Otherwise both sides meet in a full outer
-    join, with markers telling a missing row from a NULL value.
+    rows it does not touch, found by one join against the source's keys. Otherwise both sides meet in a full outer
+    join, with markers telling a missing row from a NULL value. Several source rows for one stored row fail the merge
+    at run time, unless ``check_source`` is off.
     """
     keys = list(keys)
-    source = guarded(target, source, keys) if check_source else source
     rest = [c for c in target.columns if c not in keys]
     changed = rest if update_cols is None else list(update_cols)
     if target_keyed and set(changed) == set(rest) and set(rest) <= set(source.columns):
-        incoming, names = renamed_keys(source, keys)
-        kept = target.join(incoming, all_equal(keys, names), "left_anti")
-        return source.select(*target.columns).unionByName(kept)
+        return source.select(*target.columns).unionByName(_untouched(target, source, keys, check_source))
+    source = guarded(target, source, keys) if check_source else source
     return _tagged_upsert(target, source, keys, rest, changed)
 
 
+def _untouched(target, source, keys, check_source) -> DataFrame:
+    """Target rows without a source row. The check counts source rows per key on the way into the same join."""
+    if not check_source:
+        incoming, names = renamed_keys(source, keys)
+        return target.join(incoming, all_equal(keys, names), "left_anti")
+    names = [f"__key{i}" for i in range(len(keys))]
+    incoming = key_counts(source, keys).select(*[F.col(k).alias(n) for k, n in zip(keys, names)], ROWS)
+    stays = F.when(F.col(ROWS) > 1, F.raise_error(_clash_message(keys))).otherwise(F.col(ROWS).isNull())
+    return target.join(incoming, all_equal(keys, names), "left").where(stays).select(*target.columns)
+
+
+def _clash_message(keys):
+    return F.lit(f"several source rows update the same target row, key {', '.join(keys)}")
+
+
 def _tagged_upsert(target, source, keys, rest, changed) -> DataFrame:
     shared = [c for c in rest if c in source.columns]
     old = target.select(*[F.col(c).alias(f"__t_{c}") for c in target.columns], F.lit(True).alias("__t"))
