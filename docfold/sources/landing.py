@@ -21,11 +21,9 @@ MANIFESTS = "_manifests"
 
 def read_snapshots(spark: SparkSession, path: str, pattern: str | None = None, strict: bool = True) -> DataFrame:
     """Whole files as documents: ``(file_name, modified_at, doc)``. Without ``strict`` a malformed file gives NULL."""
-    reader = spark.read.option("wholetext", True)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
+    reader = spark.read.option("pathGlobFilter", pattern) if pattern else spark.read
     parse = F.parse_json if strict else F.try_parse_json
-    return reader.text(path).select(
+    return reader.text(path, wholetext=True).select(
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_modification_time").alias("modified_at"),
         parse("value").alias("doc"),

@@ -8,7 +8,7 @@ from docfold.session import local_session
 @pytest.fixture(scope="session")
 def spark():
     warehouse = tempfile.mkdtemp(prefix="docfold-warehouse-")
-    session = local_session("*", **{"spark.sql.warehouse.dir": warehouse, "spark.ui.showConsoleProgress": "false"})
+    session = local_session("*", 4, **{"spark.sql.warehouse.dir": warehouse, "spark.ui.showConsoleProgress": "false"})
     yield session
     session.stop()
 
