@@ -28,13 +28,16 @@ def cast_rejects(raw: DataFrame, spec: FlattenSpec, doc: str = "raw_data") -> Da
 
 
 def elements(raw: DataFrame, array_path: str, doc: str = "raw_data") -> DataFrame:
-    """One row per array element beside the document's own columns: ``pos``, ``key`` and ``value`` are added.
+    """One row per array element beside the other columns: ``doc`` gives way to ``pos``, ``key`` and ``value``.
 
-    Documents with an empty or missing array drop out. They do so after the explosion: a filter before it would make
-    Spark parse a document that is still text twice.
+    The array is cut out before it is exploded, so a stored document is read for that array alone. Documents with an
+    empty or missing array drop out, after the explosion: a filter before it would make Spark parse a document that is
+    still text twice.
     """
-    array = F.variant_get(F.col(doc).outer(), F.lit(array_path), "variant")
-    return raw.lateralJoin(raw.sparkSession.tvf.variant_explode_outer(array)).where(F.col("pos").isNotNull())
+    others = [c for c in raw.columns if c != doc]
+    arrays = raw.select(*others, F.variant_get(doc, array_path, "variant").alias("__array"))
+    exploded = arrays.lateralJoin(raw.sparkSession.tvf.variant_explode_outer(F.col("__array").outer()))
+    return exploded.where(F.col("pos").isNotNull()).drop("__array")
 
 
 def bridge(raw: DataFrame, spec: BridgeSpec, doc: str = "raw_data", strict: bool = True, load_ts=None) -> DataFrame:

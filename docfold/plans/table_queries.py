@@ -16,7 +16,7 @@ from docfold.operators.merge import insert_only, merge_conflicts, reject_null_ke
 from docfold.operators.reconcile import preview, reconcile_envelopes, record_counts, verify_load
 from docfold.operators.snapshots import latest_snapshot, page_audit, page_counts, retain_snapshots, union_pages
 from docfold.plans import documents as D
-from docfold.session import written
+from docfold.session import written_together
 from docfold.sources.landing import load_by_name, load_raw, load_records, to_snapshot
 from docfold.sources.tables import enforce_required
 from docfold.specs import Field, FlattenSpec
@@ -701,12 +701,13 @@ MODEL_CHECK_SQL = [
 @query(" UNION ALL ".join(MODEL_CHECK_SQL))
 def model_quality(spark, sf_dir):
     order_docs, part_docs = raw_orders(spark, sf_dir), raw_parts(spark, sf_dir)
-    dims = {
-        "dim_orders": written(enforce_required(flatten(order_docs, D.ORDER_FIELDS), D.DIM_ORDERS), "dim_orders"),
-        "dim_parts": written(enforce_required(flatten(part_docs, D.PART_FIELDS), D.DIM_PARTS), "dim_parts"),
+    model = {
+        D.DIM_ORDERS: flatten(order_docs, D.ORDER_FIELDS),
+        D.DIM_PARTS: flatten(part_docs, D.PART_FIELDS),
+        D.BRIDGE_ORDER_PARTS: bridge_order_parts(spark, sf_dir),
     }
-    pairs = written(enforce_required(bridge_order_parts(spark, sf_dir), D.BRIDGE_ORDER_PARTS), "bridge_order_parts")
-    orders, parts = dims["dim_orders"], dims["dim_parts"]
+    stored = written_together({spec.name: enforce_required(df, spec) for spec, df in model.items()})
+    orders, parts, pairs = (stored[spec.name] for spec in model)
     return C.run_suite(
         [
             C.unique(orders, ["order_id"], "PK_ORDERS_UNIQUE", "dim_orders"),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +58,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/docfold/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def written_together(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Several independent :func:`written` jobs submitted at once, so that small ones do not leave executors idle."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return dict(zip(frames, pool.map(written, frames.values(), frames)))

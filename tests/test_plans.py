@@ -81,3 +81,15 @@ def test_date_filters_reach_the_scan(spark, plan):
 def test_snapshot_ranking_is_limited_before_its_shuffle(spark, plan):
     text = plan(Q.retained_snapshots(spark, DATA))
     assert "WindowGroupLimit" in text and "Partial" in text
+
+
+def test_stored_documents_are_read_by_field(spark, plan, tmp_path):
+    from docfold.operators.flatten import bridge, flatten
+    from docfold.plans import documents as D
+
+    Q.raw_lines(spark, DATA).write.parquet(f"{tmp_path}/lines")
+    Q.raw_orders(spark, DATA).write.parquet(f"{tmp_path}/orders")
+    flat = plan(flatten(spark.read.parquet(f"{tmp_path}/orders"), D.ORDER_FIELDS).select("order_id", "total"))
+    assert "ReadSchema: struct<raw_data:struct<0:bigint,1:double>>" in flat
+    pairs = plan(bridge(spark.read.parquet(f"{tmp_path}/lines"), D.ORDER_PARTS))
+    assert "ReadSchema: struct<raw_data:struct<0:bigint,1:variant>>" in pairs
