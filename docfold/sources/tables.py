@@ -1,13 +1,14 @@
 """Stored tables: created from a spec, replaced whole, and merged into.
 
 A table is a view over its newest version, ``<table>__v<n>``. A new version is written beside the one being read and
-becomes current in one catalog operation, so a failed or repeated run never leaves a half-written table.
+becomes current in one catalog operation, so a failed or repeated run never leaves a half-written table. Merges into a
+sliced table are the exception: they exchange the touched slices of the current version when their job commits.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from docfold.operators.merge import insert_only, upsert
 from docfold.specs import Column, TableSpec
 
+SLICE = "key_slice"
+
 
 def create_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
@@ -38,7 +41,7 @@ def create_table(spark: SparkSession, database: str, spec: TableSpec) -> None:
     for v in versions(spark, database, spec.name):
         _drop(spark, database, spec.name, v)
     _declare(spark, database, spec, 1)
-    _publish(spark, database, spec.name, 1)
+    _publish(spark, database, spec, 1)
 
 
 def replace_table(spark: SparkSession, database: str, spec: TableSpec, df: DataFrame, colocated: bool = False) -> None:
@@ -52,15 +55,17 @@ def replace_table(spark: SparkSession, database: str, spec: TableSpec, df: DataF
     rows = enforce_required(df, spec)
     if spec.buckets and not colocated:
         rows = rows.repartition(spec.buckets, *spec.key)
+    if spec.slices:
+        rows = _by_slice(rows, spec)
     _declare(spark, database, spec, version)
     try:
-        names = ", ".join(f"`{c}`" for c in spec.column_names if c in df.columns)
+        names = ", ".join(f"`{c}`" for c in [*spec.column_names, SLICE] if c in rows.columns)
         target = f"`{database}`.`{spec.name}__v{version}`"
         spark.sql(f"INSERT INTO {target} BY NAME SELECT {names} FROM {{rows}}", rows=rows)
     except Exception:
         _drop(spark, database, spec.name, version)
         raise
-    _publish(spark, database, spec.name, version)
+    _publish(spark, database, spec, version)
 
 
 def upsert_table(
@@ -68,8 +73,11 @@ def upsert_table(
 ) -> None:
     """Keyed upsert into a stored table.
 
-    With buckets, only the source is shuffled: the stored side is read bucket by bucket.
+    With buckets, only the source is shuffled: the stored side is read bucket by bucket. With slices, only the touched
+    ones are read and rewritten.
     """
+    if spec.slices:
+        return _merge_slices(spark, database, spec, source, lambda old, new: upsert(old, new, spec.key, update_cols))
     source = source.repartition(spec.buckets, *spec.key) if spec.buckets else source
     merged = upsert(scan(spark, database, spec.name), source, spec.key, update_cols)
     replace_table(spark, database, spec, merged, colocated=update_cols is None)
@@ -77,11 +85,43 @@ def upsert_table(
 
 def insert_only_table(spark: SparkSession, database: str, spec: TableSpec, source: DataFrame) -> None:
     """Adds the source rows with a new key to a stored table."""
+    if spec.slices:
+        return _merge_slices(spark, database, spec, source, lambda old, new: insert_only(old, new, spec.key))
     source = source.repartition(spec.buckets, *spec.key) if spec.buckets else source
     merged = insert_only(scan(spark, database, spec.name), source, spec.key)
     replace_table(spark, database, spec, merged, colocated=True)
 
 
+def _merge_slices(spark: SparkSession, database: str, spec: TableSpec, source: DataFrame, merge: Callable) -> None:
+    """Merges within the slices that hold a source key.
+
+    At most ``spec.slices`` numbers reach the driver; as literals they prune the stored side's files. Spark writes the
+    new slices aside and exchanges them at commit, so reading the same table is safe.
+    """
+    current = f"`{database}`.`{spec.name}__v{versions(spark, database, spec.name)[-1]}`"
+    touched = sorted(r[0] for r in source.select(_slice_of(spec)).distinct().collect())
+    if not touched:
+        return
+    stored = spark.table(current).where(F.col(SLICE).isin(touched)).drop(SLICE)
+    rows = _by_slice(enforce_required(merge(stored, source), spec), spec)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.write.insertInto(current, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
+def _slice_of(spec: TableSpec):
+    return F.pmod(F.xxhash64(*spec.key), F.lit(spec.slices)).cast("int").alias(SLICE)
+
+
+def _by_slice(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows with their slice as the last column, each slice in one task."""
+    return rows.select("*", _slice_of(spec)).repartition(SLICE)
+
+
 def drop_old_versions(spark: SparkSession, database: str, spec: TableSpec, keep: int = 2) -> list[int]:
     """Keeps the newest ``keep`` versions; running readers need the one before the current."""
     old = versions(spark, database, spec.name)[: -max(keep, 1)]
@@ -108,14 +148,19 @@ def _declare(spark: SparkSession, database: str, spec: TableSpec, version: int)
         for c in spec.columns
     )
     layout = ""
+    if spec.slices:
+        columns += f", {SLICE} int"
+        layout = f" PARTITIONED BY ({SLICE})"
     if spec.buckets:
         keys = ", ".join(f"`{k}`" for k in spec.key)
         layout = f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {spec.buckets} BUCKETS"
     spark.sql(f"CREATE TABLE `{database}`.`{spec.name}__v{version}` ({columns}) USING parquet{layout}")
 
 
-def _publish(spark: SparkSession, database: str, table: str, version: int) -> None:
-    spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{table}` AS SELECT * FROM `{database}`.`{table}__v{version}`")
+def _publish(spark: SparkSession, database: str, spec: TableSpec, version: int) -> None:
+    names = ", ".join(f"`{c}`" for c in spec.column_names)
+    stored = f"`{database}`.`{spec.name}__v{version}`"
+    spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{spec.name}` AS SELECT {names} FROM {stored}")
 
 
 def _drop(spark: SparkSession, database: str, table: str, version: int) -> None:

@@ -31,8 +31,10 @@ class ForeignKey:
 class TableSpec:
     """A table with the keys Spark's Parquet tables cannot declare themselves.
 
-    ``buckets`` hash-buckets the stored files on the key, so a merge shuffles only its source. Size it so that a
-    bucket fits one task (some hundred MB): about 200,000 buckets for 50 TB, and none for a small table.
+    A large table takes one of two layouts. ``buckets`` hash-buckets the files on the key: a merge shuffles only its
+    source, and rewrites the table, so it suits sources that touch most of it. ``slices`` partitions the table by a
+    hash of the key: a merge rewrites only the slices its source touches, so it suits small sources. Size either so
+    that one part fits a task, some hundred MB.
     """
 
     name: str
@@ -40,6 +42,11 @@ class TableSpec:
     key: tuple[str, ...]
     foreign_keys: tuple[ForeignKey, ...] = ()
     buckets: int | None = None
+    slices: int | None = None
+
+    def __post_init__(self):
+        if self.buckets and self.slices:
+            raise ValueError(f"{self.name}: choose buckets or slices")
 
     @property
     def column_names(self) -> list[str]:

@@ -13,6 +13,7 @@ COLUMNS = (
 )
 PLAIN = TableSpec("plain", COLUMNS, ("id",))
 BUCKETED = TableSpec("bucketed", COLUMNS, ("id",), buckets=4)
+SLICED = TableSpec("sliced", COLUMNS, ("id",), slices=4)
 
 
 @pytest.fixture
@@ -48,7 +49,7 @@ def test_refused_rows_leave_the_old_version(spark, db, bad):
     assert rows(T.scan(spark, db, "plain").select("id", "name")) == [(7, "old")]
 
 
-@pytest.mark.parametrize("spec", [PLAIN, BUCKETED])
+@pytest.mark.parametrize("spec", [PLAIN, BUCKETED, SLICED], ids=lambda s: s.name)
 def test_upsert_and_insert_only(spark, db, spec):
     T.create_table(spark, db, spec)
     stamp = F.lit("2024-01-01").cast("timestamp_ntz")
@@ -56,7 +57,8 @@ def test_upsert_and_insert_only(spark, db, spec):
     reader = T.scan(spark, db, spec.name)
     T.upsert_table(spark, db, spec, frame(spark, [(2, None), (3, "c")]).withColumn("loaded", stamp))
     assert rows(T.scan(spark, db, spec.name).select("id", "name")) == [(1, "a"), (2, None), (3, "c")]
-    assert rows(reader.select("id", "name")) == [(1, "a"), (2, "b")]
+    if not spec.slices:
+        assert rows(reader.select("id", "name")) == [(1, "a"), (2, "b")]
     T.insert_only_table(spark, db, spec, frame(spark, [(3, "x"), (4, "d")]).withColumn("loaded", stamp))
     assert rows(T.scan(spark, db, spec.name).select("id", "name")) == [(1, "a"), (2, None), (3, "c"), (4, "d")]
     T.upsert_table(spark, db, spec, frame(spark, [(4, "D")]), update_cols=["name"])
@@ -90,3 +92,28 @@ def test_old_versions(spark, db):
     T.drop_old_versions(spark, db, PLAIN, keep=2)
     assert T.versions(spark, db, "plain") == [12, 13]
     assert rows(T.scan(spark, db, "plain").select("id")) == [(11,)]
+
+
+def test_sliced_merge_rewrites_only_what_it_touches(spark, db):
+    stamp = F.lit("2024-01-01").cast("timestamp_ntz")
+    spec = TableSpec("narrow", COLUMNS, ("id",), slices=16)
+    T.replace_table(spark, db, spec, frame(spark, [(i, "a") for i in range(200)]).withColumn("loaded", stamp))
+
+    def files():
+        return {r[0] for r in spark.table(f"{db}.narrow__v1").select(F.col("_metadata.file_path")).distinct().collect()}
+
+    before = files()
+    T.upsert_table(spark, db, spec, frame(spark, [(7, "b")]).withColumn("loaded", stamp))
+    assert len(before) == 16 and len(before - files()) == 1
+    stored = {r.id: r.name for r in T.scan(spark, db, "narrow").collect()}
+    assert stored == {i: "b" if i == 7 else "a" for i in range(200)}
+    with pytest.raises(BROKEN):
+        T.upsert_table(spark, db, spec, frame(spark, [(7, "too long")]).withColumn("loaded", stamp))
+    assert {r.id: r.name for r in T.scan(spark, db, "narrow").collect()} == stored
+    T.upsert_table(spark, db, spec, frame(spark, []).withColumn("loaded", stamp))
+    assert T.scan(spark, db, "narrow").columns == ["id", "name", "loaded"]
+
+
+def test_one_layout_per_table():
+    with pytest.raises(ValueError):
+        TableSpec("t", COLUMNS, ("id",), buckets=2, slices=2)
