@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 ROWS = "__rows"
 HOT_KEYS = 1000
+FIXED_WIDTH = {"tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp", "timestamp_ntz"}
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -22,10 +23,19 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS))
 
 
-def digest(df: DataFrame, columns: Sequence[str], name: str = "__digest") -> DataFrame:
-    """Adds a SHA-256 of wide columns, so that they can be grouped without being shuffled. NULL stays NULL."""
-    parts = [F.sha2(F.col(c).cast("string"), 256) for c in columns]
-    return df.withColumn(name, parts[0] if len(parts) == 1 else F.struct(*parts))
+def narrow(df: DataFrame, column: str) -> Column:
+    """The column, or its SHA-256 if its values have no fixed width. NULL stays NULL."""
+    kind = df.schema[column].dataType.simpleString()
+    if kind in FIXED_WIDTH or kind.startswith("decimal"):
+        return F.col(column)
+    if kind in ("string", "binary") or kind.startswith(("varchar", "char")):
+        return F.sha2(F.col(column), 256)
+    return F.when(F.col(column).isNotNull(), F.sha2(F.to_json(F.struct(column)), 256))
+
+
+def digest(df: DataFrame, column: str, name: str = "__digest") -> DataFrame:
+    """Adds the SHA-256 of a wide column, so that it can be grouped without being shuffled."""
+    return df.withColumn(name, narrow(df, column))
 
 
 def renamed_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -42,16 +52,17 @@ def all_equal(left: Sequence[str], right: Sequence[str], null_safe: bool = False
 def rows_with_keys(rows: DataFrame, counted: DataFrame, keys: Sequence[str], hot_keys: int = HOT_KEYS) -> DataFrame:
     """Rows whose key is in ``counted``, a result of :func:`key_counts` over ``rows`` or a part of it.
 
-    The ``hot_keys`` keys with the most rows are matched by broadcast and never shuffled. A key outside them holds
-    at most ``1 / (hot_keys + 1)`` of the matched rows, so the shuffled rest is balanced. The order is total, so both
-    branches see the same hot keys even when they are recomputed.
+    The ``hot_keys`` keys with the most rows are matched by broadcast, in a fixed width, and never shuffled. A key outside
+    them holds at most ``1 / (hot_keys + 1)`` of the matched rows, so the shuffled rest is balanced. The order is total,
+    so both branches see the same hot keys even when they are recomputed.
     """
     keys = list(keys)
-    hot, names = renamed_keys(counted.orderBy(F.desc(ROWS), *keys).limit(hot_keys), keys)
-    wanted, _ = renamed_keys(counted, keys)
-    same = all_equal(keys, names, null_safe=True)
-    hot_rows = rows.join(F.broadcast(hot), same, "left_semi")
-    rest = rows.join(F.broadcast(hot), same, "left_anti").join(wanted, same, "left_semi")
+    wanted, names = renamed_keys(counted, keys)
+    largest = counted.orderBy(F.desc(ROWS), *keys).limit(hot_keys)
+    hot = F.broadcast(largest.select(*[narrow(counted, k).alias(n) for k, n in zip(keys, names)]))
+    is_hot = reduce(and_, [narrow(rows, k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    hot_rows = rows.join(hot, is_hot, "left_semi")
+    rest = rows.join(hot, is_hot, "left_anti").join(wanted, all_equal(keys, names, null_safe=True), "left_semi")
     return hot_rows.unionByName(rest)
 
 

@@ -35,7 +35,15 @@ from docfold.sources.landing import (
     read_pages,
     write_snapshot,
 )
-from docfold.sources.tables import create_database, create_table, insert_only_table, replace_table, scan, upsert_table
+from docfold.sources.tables import (
+    create_database,
+    create_table,
+    drop_old_versions,
+    insert_only_table,
+    replace_table,
+    scan,
+    upsert_table,
+)
 
 MODEL_TABLES = (DIM_CHARACTERS, DIM_EPISODES, BRIDGE)
 
@@ -45,7 +53,8 @@ class SeriesRun:
     """One run over ``landing``. Enveloped files are read from ``<landing>/<entity>/``.
 
     With ``pages``, page files from ``<pages>/<entity>/`` are first landed as record lines, which load in parallel.
-    ``rejects`` holds bridge rows without a complete key after a transform.
+    ``rejects`` holds bridge rows without a complete key after a transform. ``keep_versions`` limits the stored versions
+    of each table: the current one, and those that running readers may still use.
     """
 
     spark: SparkSession
@@ -53,6 +62,7 @@ class SeriesRun:
     pages: str | None = None
     raw_database: str = RAW_DATABASE
     model_database: str = MODEL_DATABASE
+    keep_versions: int = 2
     metrics: list[tuple[str, int, float]] = field(default_factory=list)
     rejects: DataFrame | None = None
 
@@ -74,6 +84,7 @@ class SeriesRun:
                 newest = latest_file(self.spark, f"{self.landing}/{entity}", entity)
                 rows = load_raw(read_envelopes(self.spark, newest), id_type="int")
             replace_table(self.spark, self.raw_database, spec, rows)
+            drop_old_versions(self.spark, self.raw_database, spec, self.keep_versions)
 
     def setup_model(self) -> None:
         """Empties the model, so that the next transform is a full refresh."""
@@ -90,6 +101,8 @@ class SeriesRun:
         upsert_table(self.spark, self.model_database, DIM_EPISODES, flatten(raw["episodes"], EPISODE_FIELDS, load_ts=now))
         pairs, self.rejects = reject_null_keys(bridge(raw["characters"], CHARACTER_EPISODES, load_ts=now), BRIDGE.key)
         insert_only_table(self.spark, self.model_database, BRIDGE, pairs)
+        for spec in MODEL_TABLES:
+            drop_old_versions(self.spark, self.model_database, spec, self.keep_versions)
 
     def quality(self) -> DataFrame:
         """Results of all checks; raises if one of them blocks."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +17,10 @@ from docfold.operators.merge import insert_only, merge_conflicts, reject_null_ke
 from docfold.operators.reconcile import preview, reconcile_envelopes, record_counts, verify_load
 from docfold.operators.snapshots import latest_snapshot, page_audit, page_counts, retain_snapshots, union_pages
 from docfold.plans import documents as D
-from docfold.session import written_together
-from docfold.sources.landing import load_by_name, load_raw, load_records, to_snapshot
-from docfold.sources.tables import enforce_required
-from docfold.specs import Field, FlattenSpec
+from docfold.session import shared_folder, written_together
+from docfold.sources.landing import load_by_name, load_raw, load_records, read_latest_records, to_snapshot, write_snapshot
+from docfold.sources.tables import create_database, create_table, enforce_required, replace_table, scan, upsert_table
+from docfold.specs import Column, Field, FlattenSpec, TableSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -197,6 +198,21 @@ def snapshot_records(spark, sf_dir):
     )
 
 
+@query("SELECT event_id AS id, event_type, value, 'events_2024-03-01T12-30-45.json' AS source_file FROM events")
+def landed_events(spark, sf_dir):
+    """Written as a snapshot, found again as the newest one, and loaded."""
+    root = f"{shared_folder(spark)}/docfold/{uuid.uuid4().hex}"
+    events = table(spark, sf_dir, "events").withColumnRenamed("event_id", "id")
+    write_snapshot(events, root, "events", "events feed", LOAD_TIME)
+    raw = load_records(read_latest_records(spark, root, "events"), load_ts=LOAD_TIME)
+    return raw.select(
+        "id",
+        field("raw_data", "$.event_type").alias("event_type"),
+        field("raw_data", "$.value", "double").alias("value"),
+        "source_file",
+    )
+
+
 # Flattening and bridges
 
 
@@ -309,6 +325,34 @@ def upsert_orders(spark, sf_dir):
     return upsert(stored_orders(spark, sf_dir), incoming_orders(spark, sf_dir), ["o_orderkey"])
 
 
+ORDER_COLUMNS = (
+    Column("o_orderkey", "bigint", required=True),
+    Column("o_orderstatus", width=1),
+    Column("o_orderpriority", width=50),
+    Column("o_totalprice", "double"),
+)
+
+
+def merged_table(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
+    """The same merge into a stored table, in a database of its own in the shared folder."""
+    database = f"docfold_{uuid.uuid4().hex}"
+    create_database(spark, database, f"{shared_folder(spark)}/{database}")
+    create_table(spark, database, spec)
+    replace_table(spark, database, spec, stored_orders(spark, sf_dir))
+    upsert_table(spark, database, spec, incoming_orders(spark, sf_dir))
+    return scan(spark, database, spec.name)
+
+
+@query(ORACLES["upsert_orders"])
+def upsert_bucketed_table(spark, sf_dir):
+    return merged_table(spark, sf_dir, TableSpec("orders", ORDER_COLUMNS, ("o_orderkey",), buckets=8))
+
+
+@query(ORACLES["upsert_orders"])
+def upsert_sliced_table(spark, sf_dir):
+    return merged_table(spark, sf_dir, TableSpec("orders", ORDER_COLUMNS, ("o_orderkey",), slices=8))
+
+
 @query(
     MERGE_SQL
     + """
@@ -656,7 +700,7 @@ def childless_orders(spark, sf_dir):
     """
 )
 def duplicate_documents(spark, sf_dir):
-    documents = digest(table(spark, sf_dir, "documents"), ["text"])
+    documents = digest(table(spark, sf_dir, "documents"), "text")
     check = C.unique(documents, ["__digest"], "PK_DOCUMENTS_TEXT_UNIQUE", "documents")
     return C.violations(check).select("doc_id", "lang", "source", "n_chars")
 
@@ -665,7 +709,7 @@ def duplicate_documents(spark, sf_dir):
     check_sql("PK_DOCUMENTS_TEXT_UNIQUE", "unique", "documents", repeated_sql("documents", "text"))
 )
 def duplicate_document_count(spark, sf_dir):
-    documents = digest(table(spark, sf_dir, "documents"), ["text"])
+    documents = digest(table(spark, sf_dir, "documents"), "text")
     return C.run_suite([C.unique(documents, ["__digest"], "PK_DOCUMENTS_TEXT_UNIQUE", "documents")])
 
 

@@ -19,8 +19,9 @@ from docfold.specs import Column, TableSpec
 SLICE = "key_slice"
 
 
-def create_database(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+def create_database(spark: SparkSession, database: str, folder: str | None = None) -> None:
+    location = f" LOCATION '{folder}'" if folder else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{location}")
 
 
 def versions(spark: SparkSession, database: str, table: str) -> list[int]:

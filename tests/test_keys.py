@@ -44,5 +44,14 @@ def test_linked_counts_sees_both_directions(spark):
 
 
 def test_digest_keeps_null(spark):
-    df = digest(spark.createDataFrame([("a",), (None,)], "t string"), ["t"])
-    assert [r[0] is None for r in df.select("__digest").collect()] == [False, True]
+    for kind, value in (("string", "a"), ("array<int>", [1])):
+        df = digest(spark.createDataFrame([(value,), (None,)], f"t {kind}"), "t")
+        assert [r[0] is None for r in df.select("__digest").collect()] == [False, True]
+
+
+def test_array_keys_are_told_apart(spark):
+    data = [([1, 2], 1), ([12], 2), ([], 3), (None, 4), ([1, 2], 5), (None, 6), ([], 7)]
+    df = spark.createDataFrame(data, "k array<int>, i int")
+    repeated = key_counts(df, ["k"]).where(F.col(ROWS) > 1)
+    for hot in (1, 1000):
+        assert sorted(r.i for r in rows_with_keys(df, repeated, ["k"], hot).collect()) == [1, 3, 4, 5, 6, 7]
