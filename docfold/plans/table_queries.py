@@ -333,10 +333,16 @@ ORDER_COLUMNS = (
 )
 
 
-def merged_table(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
-    """The same merge into a stored table, in a database of its own in the shared folder."""
+def own_database(spark: SparkSession) -> str:
+    """A database for one query, stored in the shared folder."""
     database = f"docfold_{uuid.uuid4().hex}"
     create_database(spark, database, f"{shared_folder(spark)}/{database}")
+    return database
+
+
+def merged_table(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
+    """The same merge into a stored table."""
+    database = own_database(spark)
     create_table(spark, database, spec)
     replace_table(spark, database, spec, stored_orders(spark, sf_dir))
     upsert_table(spark, database, spec, incoming_orders(spark, sf_dir))
@@ -383,14 +389,13 @@ def upsert_orders_actions(spark, sf_dir):
     return upsert_actions(stored_orders(spark, sf_dir), incoming_orders(spark, sf_dir), ["o_orderkey"])
 
 
-@query(
-    """
-    SELECT o_orderkey AS order_id, o_orderstatus AS status, o_totalprice AS total FROM orders
-    """
-)
+@query(ORACLES["flatten_dim_orders"])
 def full_refresh_orders(spark, sf_dir):
-    source = flatten(raw_orders(spark, sf_dir), D.ORDER_FIELDS).select("order_id", "status", "total")
-    return upsert(spark.createDataFrame([], source.schema), source, ["order_id"])
+    """A table that was emptied first takes whatever its source holds."""
+    database = own_database(spark)
+    create_table(spark, database, D.DIM_ORDERS)
+    upsert_table(spark, database, D.DIM_ORDERS, flatten(raw_orders(spark, sf_dir), D.ORDER_FIELDS))
+    return scan(spark, database, D.DIM_ORDERS.name)
 
 
 @query(

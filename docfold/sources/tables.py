@@ -75,8 +75,10 @@ def upsert_table(
     """Keyed upsert into a stored table.
 
     With buckets, only the source is shuffled: the stored side is read bucket by bucket. With slices, only the touched
-    ones are read and rewritten.
+    ones are read and rewritten. An empty table just takes the source.
     """
+    if scan(spark, database, spec.name).isEmpty():
+        return replace_table(spark, database, spec, source)
     if spec.slices:
         return _merge_slices(spark, database, spec, source, lambda old, new: upsert(old, new, spec.key, update_cols))
     source = source.repartition(spec.buckets, *spec.key) if spec.buckets else source
@@ -86,6 +88,8 @@ def upsert_table(
 
 def insert_only_table(spark: SparkSession, database: str, spec: TableSpec, source: DataFrame) -> None:
     """Adds the source rows with a new key to a stored table."""
+    if scan(spark, database, spec.name).isEmpty():
+        return replace_table(spark, database, spec, source)
     if spec.slices:
         return _merge_slices(spark, database, spec, source, lambda old, new: insert_only(old, new, spec.key))
     source = source.repartition(spec.buckets, *spec.key) if spec.buckets else source
