@@ -44,6 +44,15 @@ def verify_load(loaded: DataFrame, stored: DataFrame, by: Sequence[str]) -> Data
     )
 
 
+def reconcile_stored(declared: DataFrame, stored: DataFrame) -> DataFrame:
+    """Per snapshot, the total it announced (``source_file, total_records``) against its rows in a stored table."""
+    sides = declared.select("source_file", F.col("total_records").alias("declared"), F.lit(0).cast("bigint").alias("stored")).unionByName(
+        key_counts(stored, ["source_file"]).select("source_file", F.lit(None).cast("bigint").alias("declared"), F.col(ROWS).alias("stored"))
+    )
+    totals = sides.groupBy("source_file").agg(F.sum("declared").alias("declared"), F.sum("stored").alias("stored"))
+    return totals.withColumn("status", status_of(F.col("stored"), F.coalesce("declared", F.lit(-1)), FAIL))
+
+
 def preview(df: DataFrame, columns: Sequence, order_col: str, n: int = 5) -> DataFrame:
     """First ``n`` rows by ``order_col``, as a top-n that keeps ``n`` rows per task."""
     return df.orderBy(order_col).limit(n).select(*columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from pyspark.sql import functions as F
 from docfold.operators.checks import evaluate, gate
 from docfold.operators.flatten import bridge, flatten
 from docfold.operators.merge import reject_null_keys
-from docfold.operators.reconcile import record_counts
-from docfold.operators.snapshots import union_pages
+from docfold.operators.reconcile import reconcile_stored, record_counts
+from docfold.operators.snapshots import latest_snapshot, union_pages
 from docfold.plans.series_model import (
     BRIDGE,
     CHARACTER_EPISODES,
@@ -32,6 +33,7 @@ from docfold.sources.landing import (
     load_records,
     read_envelopes,
     read_latest_records,
+    read_manifests,
     read_pages,
     write_snapshot,
 )
@@ -86,6 +88,20 @@ class SeriesRun:
             replace_table(self.spark, self.raw_database, spec, rows)
             drop_old_versions(self.spark, self.raw_database, spec, self.keep_versions)
 
+    def verify_raw(self) -> DataFrame:
+        """Per entity, the total its newest snapshot announced against the rows in RAW."""
+        parts = []
+        for entity in RAW_TABLES:
+            if self.pages:
+                manifests = read_manifests(self.spark, self.landing, entity)
+                declared = latest_snapshot(manifests, [], "ingested_at").withColumnRenamed("snapshot", "source_file")
+            else:
+                newest = latest_file(self.spark, f"{self.landing}/{entity}", entity)
+                declared = read_envelopes(self.spark, newest).withColumnRenamed("file_name", "source_file")
+            stored = scan(self.spark, self.raw_database, entity)
+            parts.append(reconcile_stored(declared, stored).select(F.lit(entity).alias("entity"), "*"))
+        return reduce(DataFrame.unionByName, parts)
+
     def setup_model(self) -> None:
         """Empties the model, so that the next transform is a full refresh."""
         for spec in MODEL_TABLES:

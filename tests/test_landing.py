@@ -6,7 +6,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from docfold.functions.documents import field
-from docfold.operators.reconcile import preview, reconcile_envelopes, record_counts, verify_load
+from docfold.operators.reconcile import preview, reconcile_envelopes, reconcile_stored, record_counts, verify_load
 from docfold.sources import landing as L
 from tests.conftest import rows
 from tests.series_data import CHARACTERS, write_envelope, write_pages
@@ -123,5 +123,12 @@ def test_counts_verification_and_preview(spark):
     loaded = spark.createDataFrame([("a",), ("a",), ("b",)], "f string")
     stored = spark.createDataFrame([("a",), ("a",), ("c",)], "f string")
     assert rows(verify_load(loaded, stored, ["f"])) == [("a", 2, 2, "PASS"), ("b", 1, 0, "FAIL"), ("c", 0, 1, "FAIL")]
+    declared = spark.createDataFrame([("a", 2), ("b", 2), ("d", None)], "source_file string, total_records bigint")
+    assert rows(reconcile_stored(declared, stored.withColumnRenamed("f", "source_file"))) == [
+        ("a", 2, 2, "PASS"),
+        ("b", 2, 0, "FAIL"),
+        ("c", None, 1, "FAIL"),
+        ("d", None, 0, "FAIL"),
+    ]
     assert rows(record_counts({"x": loaded, "y": spark.range(0)})) == [("x", 3), ("y", 0)]
     assert [r.id for r in preview(spark.range(100).repartition(4), ["id"], "id", 3).collect()] == [0, 1, 2]

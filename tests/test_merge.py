@@ -83,7 +83,7 @@ def test_actions(spark):
 table = st.dictionaries(st.integers(0, 8), st.tuples(st.none() | st.sampled_from("ab"), st.none() | st.integers(0, 3)), max_size=8)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(table, table)
 def test_upsert_is_a_dictionary_update_and_idempotent(spark, target, source):
     def frames(d):

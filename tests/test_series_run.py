@@ -20,6 +20,10 @@ def test_enveloped_files_to_checked_model(spark, tmp_path):
     people = scan(spark, "model1", "dim_characters").orderBy("id").collect()
     assert (people[1].origin_name, people[0].origin_name, people[0].origin_url) == (None, "Earth", "")
     assert str(people[0].created) == "2017-11-04 18:48:46.250000"
+    assert rows(run.verify_raw()) == [
+        ("characters", "characters_1.json", 5, 5, "PASS"),
+        ("episodes", "episodes_1.json", 4, 4, "PASS"),
+    ]
     steps = {r.step: r.n_rows for r in run.run_metrics().collect()}
     assert steps["load-raw"] == 9 and steps["transform"] == 9 + len(EXPECTED_PAIRS)
 
@@ -57,6 +61,10 @@ def test_pages_are_landed_as_lines(spark, tmp_path):
     run = SeriesRun(spark, str(tmp_path / "landing"), pages=str(tmp_path / "pages"), raw_database="raw3", model_database="model3")
     assert {r.status for r in run.run().collect()} == {"PASS"}
     assert rows(scan(spark, "model3", "bridge_character_episodes").select("character_id", "episode_id")) == EXPECTED_PAIRS
+    assert [(r.entity, r.declared, r.stored, r.status) for r in run.verify_raw().orderBy("entity").collect()] == [
+        ("characters", 5, 5, "PASS"),
+        ("episodes", 4, 4, "PASS"),
+    ]
 
 
 def test_reference_without_number_is_rejected_and_the_rest_kept(spark, tmp_path):
