@@ -19,7 +19,15 @@ from docfold.operators.snapshots import latest_snapshot, page_audit, page_counts
 from docfold.plans import documents as D
 from docfold.session import shared_folder, written_together
 from docfold.sources.landing import load_by_name, load_raw, load_records, read_latest_records, to_snapshot, write_snapshot
-from docfold.sources.tables import create_database, create_table, enforce_required, replace_table, scan, upsert_table
+from docfold.sources.tables import (
+    create_database,
+    create_table,
+    enforce_required,
+    parts_for,
+    replace_table,
+    scan,
+    upsert_table,
+)
 from docfold.specs import Column, Field, FlattenSpec, TableSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -351,12 +359,14 @@ def merged_table(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame
 
 @query(ORACLES["upsert_orders"])
 def upsert_bucketed_table(spark, sf_dir):
-    return merged_table(spark, sf_dir, TableSpec("orders", ORDER_COLUMNS, ("o_orderkey",), buckets=8))
+    buckets = parts_for(spark, f"{sf_dir}/orders.parquet")
+    return merged_table(spark, sf_dir, TableSpec("orders", ORDER_COLUMNS, ("o_orderkey",), buckets=buckets))
 
 
 @query(ORACLES["upsert_orders"])
 def upsert_sliced_table(spark, sf_dir):
-    return merged_table(spark, sf_dir, TableSpec("orders", ORDER_COLUMNS, ("o_orderkey",), slices=8))
+    slices = parts_for(spark, f"{sf_dir}/orders.parquet")
+    return merged_table(spark, sf_dir, TableSpec("orders", ORDER_COLUMNS, ("o_orderkey",), slices=slices))
 
 
 @query(

@@ -19,6 +19,12 @@ from docfold.specs import Column, TableSpec
 SLICE = "key_slice"
 
 
+def parts_for(spark: SparkSession, path: str, part_bytes: int = 1 << 30, at_least: int = 8) -> int:
+    """Number of buckets or slices for a table about as large as the files at ``path``; only their sizes are read."""
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    return max(at_least, -(-size // part_bytes))
+
+
 def create_database(spark: SparkSession, database: str, folder: str | None = None) -> None:
     location = f" LOCATION '{folder}'" if folder else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{location}")

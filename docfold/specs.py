@@ -32,9 +32,9 @@ class TableSpec:
     """A table with the keys Spark's Parquet tables cannot declare themselves.
 
     A large table takes one of two layouts. ``buckets`` hash-buckets the files on the key: a merge shuffles only its
-    source, and rewrites the table, so it suits sources that touch most of it. ``slices`` partitions the table by a
-    hash of the key: a merge rewrites only the slices its source touches, so it suits small sources. Size either so
-    that one part fits a task, some hundred MB.
+    source, and rewrites the table, so it suits sources that touch most of it; key checks on it need no shuffle.
+    ``slices`` partitions the table by a hash of the key: a merge rewrites only the slices its source touches, so it
+    suits small sources. Either way a part should fit a task; ``parts_for`` suggests a number.
     """
 
     name: str

@@ -117,3 +117,19 @@ def test_sliced_merge_rewrites_only_what_it_touches(spark, db):
 def test_one_layout_per_table():
     with pytest.raises(ValueError):
         TableSpec("t", COLUMNS, ("id",), buckets=2, slices=2)
+
+
+def test_key_checks_on_a_bucketed_table_need_no_shuffle(spark, db):
+    from docfold.operators.checks import run_suite, unique
+
+    T.create_table(spark, db, BUCKETED)
+    T.replace_table(spark, db, BUCKETED, frame(spark, [(i % 40, "a") for i in range(50)]))
+    results = run_suite([unique(T.scan(spark, db, "bucketed"), ["id"], "PK", "bucketed")])
+    assert "hashpartitioning(id" not in results._jdf.queryExecution().executedPlan().toString()
+    assert results.first().measure == 20
+
+
+def test_parts_follow_the_size_of_the_files(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(b"x" * 1000)
+    assert T.parts_for(spark, str(tmp_path), part_bytes=90) == 12
+    assert T.parts_for(spark, str(tmp_path)) == 8
