@@ -57,6 +57,9 @@ def upsert(
     keys = list(keys)
     rest = [c for c in target.columns if c not in keys]
     changed = rest if update_cols is None else list(update_cols)
+    unknown = set(update_cols or ()) - set(source.columns)
+    if unknown:
+        raise ValueError(f"the source has no column {', '.join(sorted(unknown))}")
     if target_keyed and set(changed) == set(rest) and set(rest) <= set(source.columns):
         return source.select(*target.columns).unionByName(_untouched(target, source, keys, check_source))
     source = guarded(target, source, keys) if check_source else source

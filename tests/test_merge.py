@@ -38,6 +38,11 @@ def test_source_without_a_column(spark):
     assert rows(merged) == [(1, "a", 1), (2, "b", 20), (3, "c", 3), (4, None, 40)]
 
 
+def test_update_of_a_column_the_source_lacks_is_refused(spark):
+    with pytest.raises(ValueError, match="v"):
+        upsert(frame(spark, TARGET), frame(spark, [(2, 20)], "k int, w int"), ["k"], update_cols=["v"])
+
+
 def test_repeated_target_key_is_updated_everywhere(spark):
     target = frame(spark, [(1, "a", 1), (1, "b", 2)])
     merged = upsert(target, frame(spark, [(1, "z", 9)]), ["k"], target_keyed=False)
