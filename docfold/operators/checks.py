@@ -23,6 +23,7 @@ from docfold.functions.status import (
     success_rate,
 )
 from docfold.operators.keys import ROWS, key_counts, linked_counts, rows_with_keys, unmatched_counts
+from docfold.operators.reconcile import reconcile_envelopes
 from docfold.specs import TableSpec
 
 # A failing task reaches Python either as a Spark exception or, for some parse errors, as the plain Java one.
@@ -133,6 +134,12 @@ def row_count_match(source: DataFrame, model: DataFrame, name: str, table: str,
     return Check(name, "row_count_match", table, severity, lambda: [("measure", model, count), ("expected", source, count)])
 
 
+def envelope_totals(envelopes: DataFrame, name: str, table: str, severity: str = FAIL) -> Check:
+    """Files that hold another number of records than their envelope announces."""
+    wrong = reconcile_envelopes(envelopes).where(F.col("status") != PASS)
+    return Check(name, "envelope_totals", table, severity, lambda: [("measure", wrong, F.count(F.lit(1)))], lambda: wrong)
+
+
 def checks_for(spec: TableSpec, tables: Mapping[str, DataFrame]) -> list[Check]:
     """Key, NOT NULL and foreign-key checks that a table's declaration implies."""
     df, label = tables[spec.name], spec.name.upper()

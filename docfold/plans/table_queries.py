@@ -73,6 +73,15 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_records(D.page_records(table(spark, sf_dir, "pages")), load_ts=LOAD_TIME)
 
 
+def enveloped_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    envelopes = D.page_envelopes(table(spark, sf_dir, "pages")).select("file_name", parse_document("value").alias("doc"))
+    return envelopes.select(
+        "file_name",
+        field("doc", "$.total_records", "bigint").alias("total_records"),
+        field("doc", "$.data", "array<variant>").alias("data"),
+    )
+
+
 # Loading
 
 
@@ -120,14 +129,7 @@ def envelope_load(spark, sf_dir):
     """
 )
 def envelope_reconcile(spark, sf_dir):
-    envelopes = D.page_envelopes(table(spark, sf_dir, "pages")).select("file_name", parse_document("value").alias("doc"))
-    return reconcile_envelopes(
-        envelopes.select(
-            "file_name",
-            field("doc", "$.total_records", "bigint").alias("total_records"),
-            field("doc", "$.data", "array<variant>").alias("data"),
-        )
-    )
+    return reconcile_envelopes(enveloped_pages(spark, sf_dir))
 
 
 @query(
@@ -610,6 +612,19 @@ def blocking_checks(spark, sf_dir):
     return C.blocking(C.run_suite(table_checks(spark, sf_dir))).select("check_name", "measure", "status")
 
 
+@query(
+    check_sql(
+        "PAGE_LINK_TOTALS", "envelope_totals", "pages",
+        """
+        SELECT count(*) FROM pages
+        WHERE (length(html) - length(replace(html, 'href=', ''))) / 5 <> len(regexp_extract_all(html, 'href="([^"]*)"', 1))
+        """,
+    )
+)
+def envelope_totals(spark, sf_dir):
+    return C.run_suite([C.envelope_totals(enveloped_pages(spark, sf_dir), "PAGE_LINK_TOTALS", "pages")])
+
+
 @query(TABLE_CHECK_SQL[1])
 def pk_unique_lineitem(spark, sf_dir):
     return C.run_suite([C.unique(table(spark, sf_dir, "lineitem"), LINE_KEY, "PK_LINEITEM_UNIQUE", "lineitem")])

@@ -6,6 +6,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from docfold.functions.documents import field
+from docfold.operators.checks import envelope_totals, run_suite, violations
 from docfold.operators.reconcile import preview, reconcile_envelopes, reconcile_stored, record_counts, verify_load
 from docfold.sources import landing as L
 from tests.conftest import rows
@@ -53,10 +54,11 @@ def test_missing_empty_and_null_data(spark, tmp_path):
 def test_reconcile_finds_a_wrong_total(spark, tmp_path):
     write_envelope(tmp_path, "characters", CHARACTERS, "a", 1000)
     write_envelope(tmp_path, "characters", CHARACTERS, "b", 1000, total=6)
-    assert rows(reconcile_envelopes(L.read_envelopes(spark, f"{tmp_path}/characters"))) == [
-        ("characters_a.json", 5, 5, "PASS"),
-        ("characters_b.json", 6, 5, "FAIL"),
-    ]
+    envelopes = L.read_envelopes(spark, f"{tmp_path}/characters")
+    assert rows(reconcile_envelopes(envelopes)) == [("characters_a.json", 5, 5, "PASS"), ("characters_b.json", 6, 5, "FAIL")]
+    check = envelope_totals(envelopes, "TOTALS", "characters")
+    assert (run_suite([check]).first().measure, run_suite([check]).first().status) == (1, "FAIL")
+    assert rows(violations(check)) == [("characters_b.json", 6, 5, "FAIL")]
 
 
 def test_newest_modification_time_wins(spark, tmp_path):
