@@ -5,22 +5,55 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from docfold.llm import language, toxicity
 from docfold.llm.common import table
+from docfold.llm.decontaminate import find_overlaps, overlap_digest
+from docfold.llm.fingerprints import compare_with_edits, lexicon
 from docfold.llm.packing import pack, with_checksums
 from docfold.llm.wavelet import read_shards, shard_documents, write_shards
 
 
+def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = toxicity.fold(docs, 4) == 2
+    model = language.train(docs.where(~held_out))
+    found = language.predict(docs, model)
+    return found.select("doc_id", (toxicity.fold(found, 4) == 2).alias("held_out"), "lang_pred", "score", F.to_json("mixture").alias("mixture"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    classifier = toxicity.train(docs, labels.where(toxicity.fold(labels, 5) != 0))
+    found = toxicity.score(docs.select("doc_id", "text"), classifier)
+    score = F.col("toxicity")
+    return found.select("doc_id", (toxicity.fold(found, 5) == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_shards(spark, write_shards(table(spark, sf_dir, "documents"), end_id=2)))
 
 
+def op7_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return compare_with_edits(docs, lexicon(docs))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap_digest(find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 def op10_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_checksums(pack(table(spark, sf_dir, "documents"), end_id=1))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_language_mixture": op3_language_mixture,
+    "op4_toxicity": op4_toxicity,
     "op6_wavelet_shards": op6_wavelet_shards,
+    "op7_imatch_fingerprints": op7_imatch_fingerprints,
+    "op8_decontamination": op8_decontamination,
     "op10_curve_packing": op10_curve_packing,
 }
 
