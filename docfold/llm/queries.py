@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfold.llm import language, toxicity
+from docfold.llm import language, personal_data, secrets, toxicity
 from docfold.llm.common import table
 from docfold.llm.decontaminate import find_overlaps, overlap_digest
 from docfold.llm.fingerprints import compare_with_edits, lexicon
@@ -15,6 +15,10 @@ from docfold.llm.packing import pack, with_checksums
 from docfold.llm.wavelet import read_shards, shard_documents, write_shards
 
 
+def op1_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = toxicity.fold(docs, 4) == 2
@@ -44,16 +48,22 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap_digest(find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_digest(personal_data.scan(table(spark, sf_dir, "documents")))
+
+
 def op10_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_checksums(pack(table(spark, sf_dir, "documents"), end_id=1))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_ownership": op1_secret_ownership,
     "op3_language_mixture": op3_language_mixture,
     "op4_toxicity": op4_toxicity,
     "op6_wavelet_shards": op6_wavelet_shards,
     "op7_imatch_fingerprints": op7_imatch_fingerprints,
     "op8_decontamination": op8_decontamination,
+    "op9_personal_data": op9_personal_data,
     "op10_curve_packing": op10_curve_packing,
 }
 
