@@ -11,6 +11,7 @@ from docfold.llm import language, personal_data, secrets, toxicity
 from docfold.llm.common import table
 from docfold.llm.decontaminate import find_overlaps, overlap_digest
 from docfold.llm.fingerprints import compare_with_edits, lexicon
+from docfold.llm.near_duplicates import near_duplicate_groups
 from docfold.llm.packing import pack, with_checksums
 from docfold.llm.wavelet import read_shards, shard_documents, write_shards
 
@@ -19,6 +20,10 @@ def op1_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
 def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = toxicity.fold(docs, 4) == 2
@@ -58,6 +63,7 @@ def op10_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_ownership": op1_secret_ownership,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_language_mixture": op3_language_mixture,
     "op4_toxicity": op4_toxicity,
     "op6_wavelet_shards": op6_wavelet_shards,
