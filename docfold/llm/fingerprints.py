@@ -66,8 +66,9 @@ def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> np.ndarray
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 own = terms(text)
-                for t in own - hashed.keys():
-                    hashed[t] = (xxhash.xxh3_64_intdigest(t) + (1 << 63)) % (1 << 64) - (1 << 63)  # as a signed number
+                for t in own:
+                    if t not in hashed:
+                        hashed[t] = (xxhash.xxh3_64_intdigest(t) + (1 << 63)) % (1 << 64) - (1 << 63)  # as a signed number
                 seen.update(map(hashed.__getitem__, own))
                 if len(seen) > FLUSH_TERMS or len(hashed) > FLUSH_TERMS:
                     hashed.clear()
