@@ -90,7 +90,7 @@ def node_keys(least: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, v, nodes, later``: size and id of a row's set, its first nodes, 16 bits of each later token."""
+    """``doc_id, k, n, v, nodes, later``: hash of a row's text, size and id of its set, its first nodes, 16 bits of each later token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
@@ -106,9 +106,9 @@ def signatures(docs: DataFrame) -> DataFrame:
                     later = _mixed(least[TREES * FIRST :]).astype(np.uint16)
                     rows.append((len(own), set_id(own), node_keys(least), later.astype("<u2").tobytes()))
                 n, v, nodes, later = zip(*rows)
-                yield pa.record_batch([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(v, pa.int64()), pa.array(nodes, pa.list_(pa.int64())), pa.array(later, pa.binary())], names=["doc_id", "n", "v", "nodes", "later"])
+                yield pa.record_batch([part.column("doc_id"), part.column("k"), pa.array(n, pa.int64()), pa.array(v, pa.int64()), pa.array(nodes, pa.list_(pa.int64())), pa.array(later, pa.binary())], names=["doc_id", "k", "n", "v", "nodes", "later"])
 
-    return doc_columns(docs).mapInArrow(run, "doc_id bigint, n bigint, v bigint, nodes array<bigint>, later binary")
+    return doc_columns(docs).withColumn("k", F.xxhash64("text")).mapInArrow(run, "doc_id bigint, k bigint, n bigint, v bigint, nodes array<bigint>, later binary")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
@@ -186,14 +186,35 @@ def _branched(rest: DataFrame, signed: DataFrame, level: int) -> DataFrame:
     return rest.join(tokens, "v").select("v", "n", F.explode(chosen).alias("node"))
 
 
-def near_duplicate_groups(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of each row; the least ``doc_id`` of a component is kept."""
+def _grouped(docs: DataFrame) -> DataFrame:
     signed = written(signatures(docs), "signatures")
     labels = linked_classes(docs, signed)
     classes = signed.where("v is not null").groupBy("v").agg(F.min("doc_id").alias("first")).join(labels, "v", "left").select("v", "first", F.coalesce("label", "v").alias("label"))
     least = classes.groupBy("label").agg(F.min("first").alias("component"))
-    of_class = classes.join(least, "label").select("v", "component")
+    of_class = classes.join(least, "label").select("v", "label", "component")
     alone = F.col("v").isNull() | F.col("doc_id").isNull()
-    component = F.when(alone, F.col("doc_id")).otherwise(F.col("component"))
-    out = signed.select("doc_id", "n", "v").join(of_class, "v", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    out = signed.select("doc_id", "k", "n", "v").join(of_class, "v", "left")
+    return out.select("doc_id", "k", "n", "label", alone.alias("alone"), F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component"))
+
+
+def near_duplicate_groups(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of each row; the least ``doc_id`` of a component is kept."""
+    kept = F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True))
+    return _grouped(docs).select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), kept.alias("kept"))
+
+
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` of which one stays for each component: the least by ``doc_id``, then by hash of the text.
+
+    Rows without words or without ``doc_id`` all stay. Rows equal in ``doc_id`` and text are copies, so one of them stays.
+    """
+    grouped = written(_grouped(docs), "groups")
+    stay = grouped.where("not alone").groupBy("label").agg(F.min(F.struct("doc_id", "k")).alias("s")).select("s.*")
+    stay = stay.unionAll(grouped.where("alone and doc_id is not null").select("doc_id", "k").distinct())
+    doc_id, k = docs["doc_id"].cast("bigint"), F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), doc_id.alias("doc_id"), k.alias("k"))
+    found = keyed.join(stay, ["doc_id", "k"], "left_semi")
+    worded = F.col("doc.text").cast("string").rlike("[^\\x20\\x09-\\x0D]")
+    if grouped.where("not alone").groupBy("doc_id", "k").count().where("count > 1").take(1):
+        found = found.where(~F.coalesce(worded, F.lit(False))).unionAll(found.where(worded).dropDuplicates(["doc_id", "k"]))
+    return found.select("doc").unionAll(keyed.where("doc_id is null").select("doc")).select("doc.*")

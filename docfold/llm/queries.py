@@ -11,6 +11,7 @@ from docfold.llm import language, personal_data, secrets, toxicity
 from docfold.llm.common import table
 from docfold.llm.decontaminate import find_overlaps, overlap_digest
 from docfold.llm.fingerprints import compare_with_edits, lexicon
+from docfold.llm.line_dedup import delete_repeated_lines
 from docfold.llm.near_duplicates import near_duplicate_groups
 from docfold.llm.packing import pack, with_checksums
 from docfold.llm.wavelet import read_shards, shard_documents, write_shards
@@ -40,6 +41,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (toxicity.fold(found, 5) == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = delete_repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc.doc_id", "n_lines", "n_deleted", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op6_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_shards(spark, write_shards(table(spark, sf_dir, "documents"), end_id=2)))
 
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_duplicates": op2_near_duplicates,
     "op3_language_mixture": op3_language_mixture,
     "op4_toxicity": op4_toxicity,
+    "op5_line_dedup": op5_line_dedup,
     "op6_wavelet_shards": op6_wavelet_shards,
     "op7_imatch_fingerprints": op7_imatch_fingerprints,
     "op8_decontamination": op8_decontamination,
