@@ -23,7 +23,7 @@ from docfold.functions.status import (
     success_rate,
 )
 from docfold.operators.keys import ROWS, key_counts, linked_counts, rows_with_keys, unmatched_counts
-from docfold.operators.reconcile import reconcile_envelopes
+from docfold.operators.reconcile import reconcile_envelopes, reconcile_stored
 from docfold.specs import TableSpec
 
 # A failing task reaches Python either as a Spark exception or, for some parse errors, as the plain Java one.
@@ -140,6 +140,12 @@ def envelope_totals(envelopes: DataFrame, name: str, table: str, severity: str =
     return Check(name, "envelope_totals", table, severity, lambda: [("measure", wrong, F.count(F.lit(1)))], lambda: wrong)
 
 
+def stored_totals(declared: DataFrame, stored: DataFrame, name: str, table: str, severity: str = FAIL) -> Check:
+    """Snapshots of which another number of records is stored than they announced."""
+    wrong = reconcile_stored(declared, stored).where(F.col("status") != PASS)
+    return Check(name, "stored_totals", table, severity, lambda: [("measure", wrong, F.count(F.lit(1)))], lambda: wrong)
+
+
 def checks_for(spec: TableSpec, tables: Mapping[str, DataFrame]) -> list[Check]:
     """Key, NOT NULL and foreign-key checks that a table's declaration implies."""
     df, label = tables[spec.name], spec.name.upper()
@@ -276,12 +282,16 @@ def blocking(results: DataFrame) -> DataFrame:
 class QualityGateError(Exception):
     """A run was stopped by its checks."""
 
+    results: DataFrame | None = None
+
 
 def gate(results: DataFrame) -> None:
-    """Raises with the names of the blocking checks, or if nothing was checked."""
+    """Raises with the names of the blocking checks, or if nothing was checked; the exception carries the results."""
     rows = results.select("check_name", "measure", "status").collect()
     if not rows:
         raise QualityGateError("no check ran")
     bad = [f"{r.check_name} ({r.measure})" for r in rows if r.status in (FAIL, ERROR)]
     if bad:
-        raise QualityGateError(f"{len(bad)} of {len(rows)} checks failed: {', '.join(bad)}")
+        error = QualityGateError(f"{len(bad)} of {len(rows)} checks failed: {', '.join(bad)}")
+        error.results = results
+        raise error

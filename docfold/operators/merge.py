@@ -49,10 +49,11 @@ def upsert(
 ) -> DataFrame:
     """Matched rows take the source's values, NULLs included; other source rows are inserted; other target rows stay.
 
-    If every non-key column is updated and the target holds each key once, the result is the source plus the target
-    rows it does not touch, found by one join against the source's keys. Otherwise both sides meet in a full outer
-    join, with markers telling a missing row from a NULL value. Several source rows for one stored row fail the merge
-    at run time, unless ``check_source`` is off.
+    If every non-key column is updated, the result is the source plus the target rows it does not touch, found by one
+    join against the source's keys. A target that may hold a key several times (``target_keyed`` off) also keeps that
+    number of rows. Otherwise both sides meet in a full outer join, with markers telling a missing row from a NULL
+    value; rows with a NULL key match nothing and stay out of it. Several source rows for one stored row fail the merge at
+    run time, unless ``check_source`` is off.
     """
     keys = list(keys)
     rest = [c for c in target.columns if c not in keys]
@@ -60,8 +61,9 @@ def upsert(
     unknown = set(update_cols or ()) - set(source.columns)
     if unknown:
         raise ValueError(f"the source has no column {', '.join(sorted(unknown))}")
-    if target_keyed and set(changed) == set(rest) and set(rest) <= set(source.columns):
-        return source.select(*target.columns).unionByName(_untouched(target, source, keys, check_source))
+    if set(changed) == set(rest) and set(rest) <= set(source.columns):
+        merged = source.select(*target.columns).unionByName(_untouched(target, source, keys, check_source))
+        return merged if target_keyed else merged.unionByName(_further(target, source, keys))
     source = guarded(target, source, keys) if check_source else source
     return _tagged_upsert(target, source, keys, rest, changed)
 
@@ -77,12 +79,24 @@ def _untouched(target, source, keys, check_source) -> DataFrame:
     return target.join(incoming, all_equal(keys, names), "left").where(stays).select(*target.columns)
 
 
+def _further(target, source, keys) -> DataFrame:
+    """The source rows of keys that the target holds several times, once for each stored row but the first."""
+    names = [f"__key{i}" for i in range(len(keys))]
+    repeated = key_counts(target, keys).where(F.col(ROWS) > 1).select(*[F.col(k).alias(n) for k, n in zip(keys, names)], ROWS)
+    matched = source.select(*target.columns).join(repeated, all_equal(keys, names))
+    return matched.select(*target.columns, F.explode(F.sequence(F.lit(2).cast("bigint"), F.col(ROWS))).alias("__n")).drop("__n")
+
+
 def _clash_message(keys):
     return F.lit(f"several source rows update the same target row, key {', '.join(keys)}")
 
 
 def _tagged_upsert(target, source, keys, rest, changed) -> DataFrame:
     shared = [c for c in rest if c in source.columns]
+    target, loose = reject_null_keys(target, keys)
+    source, new = reject_null_keys(source, keys)
+    absent = F.lit(None)
+    loose = loose.unionByName(new.select(*keys, *[(F.col(c) if c in shared else absent.cast(target.schema[c].dataType)).alias(c) for c in rest]))
     old = target.select(*[F.col(c).alias(f"__t_{c}") for c in target.columns], F.lit(True).alias("__t"))
     new = source.select(*[F.col(c).alias(f"__s_{c}") for c in keys + shared], F.lit(True).alias("__s"))
     both = old.join(new, all_equal([f"__t_{k}" for k in keys], [f"__s_{k}" for k in keys]), "full_outer")
@@ -96,7 +110,7 @@ def _tagged_upsert(target, source, keys, rest, changed) -> DataFrame:
         takes_new = has_source if c in changed else has_source & ~has_target
         return F.when(takes_new, F.col(f"__s_{c}")).otherwise(F.col(f"__t_{c}"))
 
-    return both.select(*[value(c).alias(c) for c in target.columns])
+    return both.select(*[value(c).alias(c) for c in target.columns]).unionByName(loose)
 
 
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

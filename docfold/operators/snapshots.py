@@ -86,3 +86,24 @@ def page_audit(pages: DataFrame, entity_cols: Sequence[str], page_col: str, reco
         F.sum(F.col(ROWS) - 1).alias("repeated_pages"),
         F.sum("records").alias("records"),
     )
+
+
+def page_faults(pages: DataFrame, entity_cols: Sequence[str], page_col: str, next_col: str, results_col: str) -> DataFrame:
+    """Per entity, what keeps its pages from being one whole chain, each as a number of pages.
+
+    A chain runs from page 1 through every number to the one page whose ``next`` is null, and each page has results.
+    """
+    entity = list(entity_cols)
+    ends, empty = F.col(next_col).isNull(), F.col(results_col).isNull()
+    per_page = pages.groupBy(*entity, page_col).agg(
+        F.count(F.lit(1)).alias(ROWS), F.bool_or(ends).alias("__ends"), F.bool_or(empty).alias("__empty")
+    )
+    last, n = F.max(page_col), F.count(page_col)
+    return per_page.groupBy(*entity).agg(
+        F.coalesce(last - n, F.lit(0)).alias("missing_pages"),
+        F.when(F.max_by("__ends", page_col), 0).otherwise(1).alias("unfinished"),
+        (F.count_if("__ends") - F.coalesce(F.max_by("__ends", page_col).cast("int"), F.lit(0))).alias("early_ends"),
+        F.sum(F.col(ROWS) - 1).alias("repeated_pages"),
+        F.count_if("__empty").alias("without_results"),
+        F.count_if(F.col(page_col).isNull() | (F.col(page_col) < 1)).alias("unnumbered"),
+    )

@@ -10,11 +10,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfold.operators.checks import evaluate, gate
+from docfold.operators.checks import Check, evaluate, gate, stored_totals, summarise, violations
 from docfold.operators.flatten import bridge, flatten
 from docfold.operators.merge import reject_null_keys
 from docfold.operators.reconcile import reconcile_stored, record_counts
-from docfold.operators.snapshots import latest_snapshot, union_pages
+from docfold.operators.snapshots import latest_snapshot, page_faults, union_pages
 from docfold.plans.series_model import (
     BRIDGE,
     CHARACTER_EPISODES,
@@ -50,13 +50,18 @@ from docfold.sources.tables import (
 MODEL_TABLES = (DIM_CHARACTERS, DIM_EPISODES, BRIDGE)
 
 
+class IncompleteInputError(Exception):
+    """Landed pages are not one whole chain."""
+
+
 @dataclass
 class SeriesRun:
     """One run over ``landing``. Enveloped files are read from ``<landing>/<entity>/``.
 
     With ``pages``, page files from ``<pages>/<entity>/`` are first landed as record lines, which load in parallel.
     ``rejects`` holds bridge rows without a complete key after a transform. ``keep_versions`` limits the stored versions
-    of each table: the current one, and those that running readers may still use.
+    of each table: the current one, and those that running readers may still use. ``results`` and ``checks`` are those of the
+    last quality step, also if it failed.
     """
 
     spark: SparkSession
@@ -67,14 +72,21 @@ class SeriesRun:
     keep_versions: int = 2
     metrics: list[tuple[str, int, float]] = field(default_factory=list)
     rejects: DataFrame | None = None
+    results: DataFrame | None = None
+    checks: dict[str, Check] = field(default_factory=dict)
 
     def setup(self) -> None:
         create_database(self.spark, self.raw_database)
         create_database(self.spark, self.model_database)
 
     def ingest(self) -> None:
+        """Lands the pages of each entity; raises if they are not one whole chain."""
         for entity in RAW_TABLES:
-            records = union_pages(read_pages(self.spark, f"{self.pages}/{entity}"), ["page"]).select("record")
+            pages = read_pages(self.spark, f"{self.pages}/{entity}")
+            faults = page_faults(pages, [], "page", "next", "results").first().asDict()
+            if any(faults.values()):
+                raise IncompleteInputError(f"{entity} pages: {', '.join(f'{k} {v}' for k, v in faults.items() if v)}")
+            records = union_pages(pages, ["page"]).select("record")
             write_snapshot(records, self.landing, entity, f"{self.pages}/{entity}")
 
     def load_raw(self) -> None:
@@ -92,16 +104,18 @@ class SeriesRun:
         """Per entity, the total its newest snapshot announced against the rows in RAW."""
         parts = []
         for entity in RAW_TABLES:
-            if self.pages:
-                manifests = read_manifests(self.spark, self.landing, entity)
-                declared = latest_snapshot(manifests, [], "ingested_at").withColumnRenamed("snapshot", "source_file")
-            else:
-                newest = latest_file(self.spark, f"{self.landing}/{entity}", entity)
-                declared = read_envelopes(self.spark, newest).withColumnRenamed("file_name", "source_file")
             stored = scan(self.spark, self.raw_database, entity)
-            parts.append(reconcile_stored(declared, stored).select(F.lit(entity).alias("entity"), "*"))
+            parts.append(reconcile_stored(self._declared(entity), stored).select(F.lit(entity).alias("entity"), "*"))
         return reduce(DataFrame.unionByName, parts)
 
+    def _declared(self, entity: str) -> DataFrame:
+        """``source_file, total_records`` of the newest snapshot."""
+        if self.pages:
+            manifests = read_manifests(self.spark, self.landing, entity)
+            return latest_snapshot(manifests, [], "ingested_at").withColumnRenamed("snapshot", "source_file")
+        newest = latest_file(self.spark, f"{self.landing}/{entity}", entity)
+        return read_envelopes(self.spark, newest).withColumnRenamed("file_name", "source_file")
+
     def setup_model(self) -> None:
         """Empties the model, so that the next transform is a full refresh."""
         for spec in MODEL_TABLES:
@@ -121,26 +135,46 @@ class SeriesRun:
             drop_old_versions(self.spark, self.model_database, spec, self.keep_versions)
 
     def quality(self) -> DataFrame:
-        """Results of all checks; raises if one of them blocks."""
+        """Results of all checks, those of the announced totals included; raises if one of them blocks."""
         raw = {name: scan(self.spark, self.raw_database, name) for name in RAW_TABLES}
         model = {t.name: scan(self.spark, self.model_database, t.name) for t in MODEL_TABLES}
-        results = evaluate(series_checks(raw, model))
-        gate(results)
-        return results
+        checks = [*series_checks(raw, model)]
+        checks += [stored_totals(self._declared(e), raw[e], f"TOTAL_{e.upper()}", e) for e in RAW_TABLES]
+        self.checks = {c.name: c for c in checks}
+        self.results = evaluate(checks)
+        gate(self.results)
+        return self.results
+
+    def summary(self) -> DataFrame:
+        """Totals and verdict of the last quality step."""
+        return summarise(self.results)
+
+    def violations(self, check_name: str) -> DataFrame:
+        """The rows that break a check of the last quality step."""
+        return violations(self.checks[check_name])
 
     def run(self, step: str = "all") -> DataFrame | None:
-        """Runs one step, or all in order; returns the check results if they were computed."""
+        """Runs one step, or all in order; returns the check results if they were computed.
+
+        A failing step is timed as well, with 0 rows unless it is the checks that failed.
+        """
+        steps = self._steps()
+        if step not in (*steps, "all"):
+            raise ValueError(f"no step {step}; there are {', '.join(steps)} and all")
         results = None
-        for name, action in self._steps().items():
+        for name, action in steps.items():
             if step in (name, "all"):
-                started = time.monotonic()
-                outcome = action()
+                started, done = time.monotonic(), False
+                try:
+                    outcome = action()
+                    done = True
+                finally:
+                    self.metrics.append((name, self._rows(name) if done or name == "quality" else 0, time.monotonic() - started))
                 results = outcome if name == "quality" else results
-                self.metrics.append((name, self._rows(name), time.monotonic() - started))
         return results
 
     def run_metrics(self) -> DataFrame:
-        """One row per step: rows in the tables it leaves behind, seconds, rows per second."""
+        """One row per step: rows it landed or left in its tables, or checks it ran; seconds, rows per second."""
         schema = "step string, n_rows bigint, seconds double"
         speed = F.when(F.col("seconds") > 0, F.round(F.col("n_rows") / F.col("seconds"), 2))
         return self.spark.createDataFrame(self.metrics, schema).withColumn("rows_per_second", speed)
@@ -160,6 +194,11 @@ class SeriesRun:
     def _rows(self, step: str) -> int:
         """Row counts come from Parquet footers, not from a second pass over the data."""
         tables = {"load-raw": (self.raw_database, RAW_TABLES), "transform": (self.model_database, [t.name for t in MODEL_TABLES])}
+        if step == "quality":
+            return self.results.count() if self.results is not None else 0
+        if step == "ingest":
+            newest = [self._declared(entity).select("total_records") for entity in RAW_TABLES]
+            return reduce(DataFrame.unionAll, newest).agg(F.sum("total_records")).first()[0]
         if step not in tables:
             return 0
         database, names = tables[step]

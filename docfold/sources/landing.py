@@ -88,7 +88,11 @@ def load_raw(
     Whole documents (``doc``) are exploded at ``array_path``; envelopes (``data``) by element.
     """
     if "data" in df.columns:
-        items = df.select("file_name", F.explode("data").alias("value"))
+        held = F.col("data")
+        if strict:  # a snapshot without its records must not pass for an empty one
+            missing = F.concat(F.col("file_name"), F.lit(" holds no data"))
+            held = F.when(held.isNull(), F.raise_error(missing)).otherwise(held)
+        items = df.select("file_name", F.explode(held).alias("value"))
     else:
         items = elements(df.select("file_name", "doc"), array_path, "doc")
     return items.select(
@@ -129,17 +133,19 @@ def load_by_name(
     """Table rows from JSON lines, fields matched to columns by name without regard to case.
 
     Missing fields give NULL and unknown ones are dropped. Nested values stay JSON text, or become a document where
-    the column is a variant. ``columns`` restricts the load to some columns.
+    the column is a variant. ``columns`` restricts the load to some columns. ``strict`` stops at a line that is no JSON
+    object, or that names a field twice; otherwise such a line gives NULLs or its last value, and
+    :func:`by_name_rejects` lists those that are no objects.
     """
     target = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     wanted = None if columns is None else {c.lower() for c in columns}
-    fields = F.transform_keys(F.from_json(text, "map<string,string>"), lambda k, _: F.lower(k))
-    rows = lines.select(fields.alias("__fields"))
+    rows = lines.select(_fields_by_name(text, strict).alias("__fields"))
     selected = []
     for f in target.fields:
         if wanted is not None and f.name.lower() not in wanted:
             continue
-        value = F.col("__fields")[f.name.lower()]
+        name = f.name.lower()
+        value = F.col("__fields")[name] if strict else _last_named(name)
         if isinstance(f.dataType, T.VariantType):
             value = F.parse_json(value) if strict else F.try_parse_json(value)
         else:
@@ -148,6 +154,25 @@ def load_by_name(
     return rows.select(*selected)
 
 
+def _fields_by_name(text: str, strict: bool):
+    """Fields of an object: a map by lower-case name, or without ``strict`` the entries as they come."""
+    if not strict:
+        return F.map_entries(F.from_json(text, "map<string,string>"))
+    # from_json would give NULL for a line that parse_json refuses
+    whole = F.when(F.parse_json(text).isNotNull(), F.from_json(text, "map<string,string>", {"mode": "FAILFAST"}))
+    return F.transform_keys(whole, lambda k, _: F.lower(k))
+
+
+def _last_named(name: str):
+    return F.get(F.reverse(F.filter("__fields", lambda e: F.lower(e["key"]) == name)), F.lit(0))["value"]
+
+
+def by_name_rejects(lines: DataFrame, text: str = "value") -> DataFrame:
+    """Lines that are no JSON objects, and so hold nothing that :func:`load_by_name` could load."""
+    parsed = F.try_parse_json(text)
+    return lines.where(parsed.isNull() | ~F.schema_of_variant(parsed).startswith("OBJECT"))
+
+
 def to_snapshot(df: DataFrame, entity: str, source: str, load_ts=None) -> tuple[DataFrame, DataFrame]:
     """(records as JSON lines, one-row manifest with the envelope's fields).
 

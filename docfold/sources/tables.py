@@ -51,15 +51,25 @@ def create_table(spark: SparkSession, database: str, spec: TableSpec) -> None:
     _publish(spark, database, spec, 1)
 
 
-def replace_table(spark: SparkSession, database: str, spec: TableSpec, df: DataFrame, colocated: bool = False) -> None:
+class ConcurrentWriteError(Exception):
+    """Another writer published a version after the one this write was computed from."""
+
+
+def replace_table(
+    spark: SparkSession, database: str, spec: TableSpec, df: DataFrame, colocated: bool = False, base: int | None = None
+) -> None:
     """Stores ``df`` as the new version. Columns it lacks get their default.
 
-    Required columns and text widths are enforced while writing. ``colocated`` says that ``df`` is already partitioned
-    into the table's buckets.
+    Required columns and text widths are enforced while writing; a required column without default must be there.
+    ``colocated`` says that ``df`` is already partitioned into the table's buckets. ``base`` is the version that ``df``
+    was computed from: the write fails if another one has been published since.
     """
     existing = versions(spark, database, spec.name)
-    version = existing[-1] + 1 if existing else 1
-    rows = enforce_required(df, spec)
+    if base is None:
+        base = existing[-1] if existing else 0
+    version = base + 1
+    rows = enforce_required(completed(df, spec), spec)
+    _still(spark, database, spec, base)
     if spec.buckets and not colocated:
         rows = rows.repartition(spec.buckets, *spec.key)
     if spec.slices:
@@ -75,32 +85,59 @@ def replace_table(spark: SparkSession, database: str, spec: TableSpec, df: DataF
     _publish(spark, database, spec, version)
 
 
+def _still(spark: SparkSession, database: str, spec: TableSpec, base: int) -> None:
+    newest = versions(spark, database, spec.name)
+    if newest and newest[-1] != base:
+        raise ConcurrentWriteError(f"{spec.name}: version {newest[-1]} was written after version {base} had been read")
+
+
+def completed(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """``df`` with the default of each column it lacks; refused if it lacks a required one that has none."""
+    lacking = [c for c in spec.columns if c.name not in df.columns]
+    needed = [c.name for c in lacking if c.required and c.default is None]
+    if needed:
+        raise ValueError(f"{spec.name}: the source has no column {', '.join(needed)}")
+    return df.withColumns({c.name: F.expr(c.default).cast(c.type) for c in lacking if c.default is not None})
+
+
 def upsert_table(
     spark: SparkSession, database: str, spec: TableSpec, source: DataFrame, update_cols: Sequence[str] | None = None
 ) -> None:
     """Keyed upsert into a stored table.
 
     With buckets, only the source is shuffled: the stored side is read bucket by bucket. With slices, only the touched
-    ones are read and rewritten. An empty table just takes the source.
+    ones are read and rewritten. An empty table just takes the source. Columns that the source lacks keep their value in
+    updated rows and get their default in inserted ones. Stored rows that share a key are all updated.
     """
+    given = [c for c in spec.column_names if c in source.columns and c not in spec.key]
+    changed = given if update_cols is None else list(update_cols)
+    unknown = set(changed) - set(source.columns)
+    if unknown:
+        raise ValueError(f"the source has no column {', '.join(sorted(unknown))}")
+    source = completed(source, spec)
+    base = versions(spark, database, spec.name)[-1]
     if scan(spark, database, spec.name).isEmpty():
-        return replace_table(spark, database, spec, source)
+        return replace_table(spark, database, spec, source, base=base)
+    every = set(changed) == set(spec.column_names) - set(spec.key)
+    columns = None if every else changed
     if spec.slices:
-        return _merge_slices(spark, database, spec, source, lambda old, new: upsert(old, new, spec.key, update_cols))
+        return _merge_slices(spark, database, spec, source, lambda old, new: upsert(old, new, spec.key, columns, target_keyed=False))
     source = source.repartition(spec.buckets, *spec.key) if spec.buckets else source
-    merged = upsert(scan(spark, database, spec.name), source, spec.key, update_cols)
-    replace_table(spark, database, spec, merged, colocated=update_cols is None)
+    merged = upsert(scan(spark, database, spec.name), source, spec.key, columns, target_keyed=False)
+    replace_table(spark, database, spec, merged, colocated=every, base=base)
 
 
 def insert_only_table(spark: SparkSession, database: str, spec: TableSpec, source: DataFrame) -> None:
-    """Adds the source rows with a new key to a stored table."""
+    """Adds the source rows with a new key to a stored table. Columns the source lacks get their default."""
+    source = completed(source, spec)
+    base = versions(spark, database, spec.name)[-1]
     if scan(spark, database, spec.name).isEmpty():
-        return replace_table(spark, database, spec, source)
+        return replace_table(spark, database, spec, source, base=base)
     if spec.slices:
         return _merge_slices(spark, database, spec, source, lambda old, new: insert_only(old, new, spec.key))
     source = source.repartition(spec.buckets, *spec.key) if spec.buckets else source
     merged = insert_only(scan(spark, database, spec.name), source, spec.key)
-    replace_table(spark, database, spec, merged, colocated=True)
+    replace_table(spark, database, spec, merged, colocated=True, base=base)
 
 
 def _merge_slices(spark: SparkSession, database: str, spec: TableSpec, source: DataFrame, merge: Callable) -> None:
@@ -115,13 +152,7 @@ def _merge_slices(spark: SparkSession, database: str, spec: TableSpec, source: D
         return
     stored = spark.table(current).where(F.col(SLICE).isin(touched)).drop(SLICE)
     rows = _by_slice(enforce_required(merge(stored, source), spec), spec)
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        rows.write.insertInto(current, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
+    rows.write.insertInto(current, overwrite=True)  # only the partitions it holds: an option of the table says so
 
 
 def _slice_of(spec: TableSpec):
@@ -161,7 +192,7 @@ def _declare(spark: SparkSession, database: str, spec: TableSpec, version: int)
     layout = ""
     if spec.slices:
         columns += f", {SLICE} int"
-        layout = f" PARTITIONED BY ({SLICE})"
+        layout = f" OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({SLICE})"
     if spec.buckets:
         keys = ", ".join(f"`{k}`" for k in spec.key)
         layout = f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {spec.buckets} BUCKETS"

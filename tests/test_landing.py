@@ -4,6 +4,7 @@ import json
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from docfold.functions.documents import field
 from docfold.operators.checks import envelope_totals, run_suite, violations
@@ -47,7 +48,9 @@ def test_missing_empty_and_null_data(spark, tmp_path):
     for n, text in enumerate(['{"total_records": 0}', '{"data": [], "total_records": 0}', '{"data": null}', '{"data": [{"id": 1}]}']):
         (tmp_path / f"x_{n}.json").write_text(text)
     envelopes = L.read_envelopes(spark, str(tmp_path))
-    assert L.load_raw(envelopes).count() == 1
+    assert L.load_raw(envelopes, strict=False).count() == 1
+    with pytest.raises(BROKEN, match="holds no data"):
+        L.load_raw(envelopes).collect()
     assert [r.status for r in reconcile_envelopes(envelopes).orderBy("source_file").collect()] == ["PASS", "PASS", "FAIL", "FAIL"]
 
 
@@ -134,3 +137,13 @@ def test_counts_verification_and_preview(spark):
     ]
     assert rows(record_counts({"x": loaded, "y": spark.range(0)})) == [("x", 3), ("y", 0)]
     assert [r.id for r in preview(spark.range(100).repartition(4), ["id"], "id", 3).collect()] == [0, 1, 2]
+
+
+def test_lines_that_are_no_objects_stop_or_are_listed(spark):
+    texts = ['{"ID": 1}', '{"ID":2,', "not json", '{"ID": 3, "id": 4}', "[5]"]
+    lines = spark.createDataFrame([(t,) for t in texts], "value string")
+    for bad in texts[1:4]:
+        with pytest.raises(BROKEN):
+            L.load_by_name(lines.where(F.col("value") == bad), "id bigint").collect()
+    assert sorted(r.id or 0 for r in L.load_by_name(lines, "id bigint", strict=False).collect()) == [0, 0, 0, 1, 4]
+    assert sorted(r.value for r in L.by_name_rejects(lines).collect()) == sorted([texts[1], texts[2], texts[4]])

@@ -133,3 +133,55 @@ def test_parts_follow_the_size_of_the_files(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(b"x" * 1000)
     assert T.parts_for(spark, str(tmp_path), part_bytes=90) == 12
     assert T.parts_for(spark, str(tmp_path)) == 8
+
+
+@pytest.mark.parametrize("filled", [False, True])
+@pytest.mark.parametrize("spec", [PLAIN, BUCKETED, SLICED], ids=lambda s: s.name)
+def test_merges_behave_alike_on_empty_and_filled_tables(spark, db, spec, filled):
+    spec = TableSpec(spec.name, (*COLUMNS[:2], Column("loaded", default="'new'")), ("id",), buckets=spec.buckets, slices=spec.slices)
+    T.create_table(spark, db, spec)
+    stored = [(9, "old", "then")] if filled else []
+    if filled:
+        T.replace_table(spark, db, spec, spark.createDataFrame(stored, "id bigint, name string, loaded string"))
+    with pytest.raises(ValueError, match="nope"):
+        T.upsert_table(spark, db, spec, frame(spark, [(1, "a")]), update_cols=["nope"])
+    with pytest.raises(ValueError, match="no column id"):
+        T.upsert_table(spark, db, spec, spark.createDataFrame([("a",)], "name string"))
+    T.upsert_table(spark, db, spec, frame(spark, [(1, "a")]))
+    T.insert_only_table(spark, db, spec, frame(spark, [(2, "b"), (1, "not taken")]))
+    assert rows(T.scan(spark, db, spec.name)) == sorted([(1, "a", "new"), (2, "b", "new"), *stored])
+    T.upsert_table(spark, db, spec, frame(spark, [(9, "kept")]))
+    assert rows(T.scan(spark, db, spec.name).where("id = 9")) == [(9, "kept", "then" if filled else "new")]
+
+
+@pytest.mark.parametrize("spec", [PLAIN, BUCKETED, SLICED], ids=lambda s: s.name)
+def test_repeated_stored_keys_are_all_updated(spark, db, spec):
+    T.create_table(spark, db, spec)
+    stamp = F.lit("2024-01-01").cast("timestamp_ntz")
+    T.replace_table(spark, db, spec, frame(spark, [(1, "a"), (1, "b"), (2, "x")]).withColumn("loaded", stamp))
+    T.upsert_table(spark, db, spec, frame(spark, [(1, "new")]).withColumn("loaded", stamp))
+    assert rows(T.scan(spark, db, spec.name).select("id", "name")) == [(1, "new"), (1, "new"), (2, "x")]
+
+
+def test_lost_update_is_refused(spark, db):
+    T.create_table(spark, db, PLAIN)
+    base = T.versions(spark, db, "plain")[-1]
+    T.replace_table(spark, db, PLAIN, frame(spark, [(1, "first")]))
+    with pytest.raises(T.ConcurrentWriteError):
+        T.replace_table(spark, db, PLAIN, frame(spark, [(1, "late")]), base=base)
+    assert rows(T.scan(spark, db, "plain").select("id", "name")) == [(1, "first")]
+
+
+def test_threads_merge_into_sliced_tables(spark, db):
+    from concurrent.futures import ThreadPoolExecutor
+
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    specs = [TableSpec(f"sliced{i}", COLUMNS[:2], ("id",), slices=4) for i in range(3)]
+    for spec in specs:
+        T.create_table(spark, db, spec)
+        T.replace_table(spark, db, spec, frame(spark, [(i, "old") for i in range(40)]))
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda spec: T.upsert_table(spark, db, spec, frame(spark, [(3, "new"), (50, "more")])), specs))
+    for spec in specs:
+        assert rows(T.scan(spark, db, spec.name)) == sorted([*((i, "new" if i == 3 else "old") for i in range(40)), (50, "more")])
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
