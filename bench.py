@@ -22,6 +22,9 @@ HEADLINE = [
     "upsert_orders",
     "upsert_orders_partial",
     "insert_only_pairs",
+    "upsert_bucketed_table",
+    "upsert_sliced_table",
+    "landed_events",
     "retained_snapshots",
     "page_totals",
     "pk_violations_lineitem",
