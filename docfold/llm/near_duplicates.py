@@ -2,11 +2,13 @@
 
 A text's set holds its distinct runs of five words, hashed to 64 bits. Texts with one set are one class, and only classes are
 compared. Each of ``TREES`` trees branches classes by the least of their tokens under the tree's hash functions: classes
-that share four such tokens in order share a node. The classes of a node of at most ``SMALL`` are compared exhaustively. In a
-larger node one class, the pivot, is compared with all; what stays apart then branches on by the next token, every third node
-by a second one too, so that on average 4/3 branches keep a similar pair together at each level. Classes already in
-one component need no comparison any more, so a large group of near copies is done after its pivot. Nodes that are
-still large after ``LEVELS`` levels are worked off pivot by pivot. Every candidate is confirmed on the full sets.
+that share four such tokens in order share a node. Classes already in one component need no comparison any more, so the size
+of a node is the number of its pairs across components. A node of at most ``SMALL`` pairs is compared exhaustively. In a larger
+one a class, the pivot, is compared with all, so a large group of near copies is done at once; what stays apart then branches on
+by the next token, every third node by a second one too, so that on average 4/3 branches keep a similar pair together at each
+level. ``SMALL`` grows by four with the level, up to level ``LEVELS``; nodes that are still larger then are worked off pivot by
+pivot. Candidates need as many equal later tokens as all but one in ten million pairs at the threshold have, and are then
+confirmed on the full sets.
 
 Two classes at similarity s meet in one of the trees at the first level with probability 1 - (1 - s**4)**TREES:
 0.99999 for s = 0.75. A node is never read by one task as a whole unless it is small.
@@ -31,8 +33,10 @@ from docfold.session import written
 
 SHINGLE = 5
 PERCENT = 75
-TREES, FIRST, POOL, LEVELS = 30, 4, 48, 12
-SMALL = 32
+TREES, FIRST, POOL, LEVELS = 30, 4, 48, 5
+SMALL = 512
+#: Of ``POOL`` tokens, each equal with probability 0.75 or more, fewer are equal in one of ten million pairs.
+EQUAL_TOKENS = 19
 _KNOWN_WORDS = 400_000
 _RNG = np.random.default_rng(11)
 _ORDER = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -126,8 +130,13 @@ def _sets(docs: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
     return sets.dropDuplicates(["v"]) if repeated else sets
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
+def _confirmed(pairs: DataFrame, classes: DataFrame, signed: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
     """Those pairs ``a, b`` whose full sets are similar enough."""
+    tokens = _tokens(signed, pairs.select(F.col("a").alias("v")).unionAll(pairs.select(F.col("b").alias("v"))))
+    both = pairs.join(tokens.select(F.col("v").alias("a"), F.col("later").alias("x")), "a").join(tokens.select(F.col("v").alias("b"), F.col("later").alias("y")), "b")
+    token = lambda c, i: F.substring(F.col(c), i * 2 + 1, F.lit(2))
+    equal = F.size(F.filter(F.sequence(F.lit(0), F.lit(POOL - 1)), lambda i: token("x", i) == token("y", i)))
+    pairs = written(both.where(equal >= EQUAL_TOKENS).select("a", "b"), "near_pairs")
     needed = pairs.select(F.col("a").alias("v")).unionAll(pairs.select(F.col("b").alias("v"))).distinct()
     sets = written(_sets(docs, classes.join(needed, "v").select("v", "doc_id"), repeated), "sets")
     both = pairs.join(sets.select(F.col("v").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("v").alias("b"), F.col("shingles").alias("y")), "b")
@@ -135,15 +144,27 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, repeated:
     return both.where(100 * common >= PERCENT * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
+def _tokens(signed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``v, later`` of the wanted classes, once each."""
+    tokens = signed.where("v is not null and doc_id is not null").select("v", "later")
+    return written(tokens.join(wanted.distinct(), "v", "left_semi").distinct(), "tokens")
+
+
 def _pairs(nodes: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs ``a, b`` of the nodes (``node, v, n, label``), and the members of large nodes with their pivot."""
-    of_node = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max(F.struct("label", "v", "n")).alias("pivot"))
-    joined = written(nodes.join(of_node.where(F.col("low") < F.col("pivot.label")), "node").drop("low"), "nodes")
+    of_label = nodes.groupBy("node", "label").agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("v", "n")).alias("one"))
+    of_node = of_label.groupBy("node").agg(
+        F.count(F.lit(1)).alias("labels"), F.sum("size").alias("size"), F.sum(F.col("size") * F.col("size")).alias("squares"), F.max(F.struct("size", "label", "one")).alias("pivot")
+    )
+    cross = ((F.col("size") * F.col("size") - F.col("squares")) / 2).alias("cross")
+    pivot = F.struct(F.col("pivot.label").alias("label"), F.col("pivot.one.v").alias("v"), F.col("pivot.one.n").alias("n")).alias("pivot")
+    joined = written(nodes.join(of_node.where("labels > 1").select("node", cross, pivot), "node"), "nodes")
     near = lambda x, y: (100 * F.least(x, y) >= PERCENT * F.greatest(x, y))
-    members = joined.where(F.col("size") <= small).groupBy("node").agg(F.collect_list(F.struct("v", "n", "label")).alias("m"))
+    # a node with few pairs across components has few members
+    members = joined.where(F.col("cross") <= small).groupBy("node").agg(F.collect_list(F.struct("v", "n", "label")).alias("m"))
     others = lambda x: F.filter("m", lambda y: (y["v"] > x["v"]) & (y["label"] != x["label"]) & near(x["n"], y["n"]))
     each = members.select(F.explode(F.flatten(F.transform("m", lambda x: F.transform(others(x), lambda y: F.struct(x["v"].alias("a"), y["v"].alias("b")))))).alias("p")).select("p.*")
-    large = joined.where(F.col("size") > small)
+    large = joined.where(F.col("cross") > small)
     star = large.where((F.col("label") != F.col("pivot.label")) & near(F.col("n"), F.col("pivot.n"))).select(F.least("v", "pivot.v").alias("a"), F.greatest("v", "pivot.v").alias("b"))
     return written(each.unionAll(star).distinct(), "pairs"), large.select("node", "v", "n", F.col("pivot.v").alias("pivot"))
 
@@ -156,14 +177,16 @@ def linked_classes(docs: DataFrame, signed: DataFrame, small: int = SMALL, level
     nodes = nodes.select("node", "v", "n", F.col("v").alias("label"))
     links, labels, level = None, None, 0
     while True:
-        pairs, rest = _pairs(nodes, small)
-        found = written(_confirmed(pairs, classes, docs, repeated), "links")
+        pairs, rest = _pairs(nodes, small * 4 ** min(level, levels))
+        found = written(_confirmed(pairs, classes, signed, docs, repeated), "links")
         links = found if links is None else written(links.unionAll(found).distinct(), "links")
         labels = written(components(links), "labels")
         if not rest.take(1):
             return labels
-        if level < levels:
+        if 0 < level < levels:
             rest = _branched(rest, signed, level)
+        elif level == 0:  # once more as they are, now that most pairs lie within components
+            rest = rest.where("v != pivot").select("node", "v", "n")
         else:  # the pivot is done with: all others of its node have met it
             rest = rest.where("v != pivot").select("node", "v", "n")
         nodes = rest.join(labels, "v", "left").select("node", "v", "n", F.coalesce("label", "v").alias("label"))
@@ -173,8 +196,7 @@ def linked_classes(docs: DataFrame, signed: DataFrame, small: int = SMALL, level
 def _branched(rest: DataFrame, signed: DataFrame, level: int) -> DataFrame:
     """The members of large nodes in the nodes of the next level."""
     tree = F.pmod("node", F.lit(32))
-    tokens = signed.where("v is not null and doc_id is not null").select("v", "later")
-    tokens = tokens.join(rest.select("v").distinct(), "v", "left_semi").distinct()
+    tokens = _tokens(signed, rest.select("v"))
 
     def child(step: int):
         place = F.pmod(tree * 7 + F.lit(level + step), F.lit(POOL)).cast("int")

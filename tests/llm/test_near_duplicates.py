@@ -61,11 +61,11 @@ def made_rows(seed, families=12, copies=9):
     return [(i * 3 - 10, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("small, levels", [(32, 12), (2, 2)])
+@pytest.mark.parametrize("small, levels", [(near_duplicates.SMALL, near_duplicates.LEVELS), (1, 2)])
 def test_groups_against_all_pairs(spark, small, levels, monkeypatch):
     default = near_duplicates.linked_classes
     monkeypatch.setattr(near_duplicates, "linked_classes", lambda d, s: default(d, s, small, levels))
-    rows = made_rows(1, 6 if small == 2 else 14)
+    rows = made_rows(1, 6 if small == 1 else 14)
     rows += [(rows[3][0], rows[3][1]), (rows[4][0], "another text under a used id"), (None, rows[5][1]), (None, None)]
     frame = spark.createDataFrame([(i, t, 1, "x", False) for i, t in rows], "doc_id bigint, text string, n int, v string, kept boolean")
     assert groups(near_duplicate_groups(frame)) == brute_groups(rows)
