@@ -5,13 +5,14 @@ compared. Each of ``TREES`` trees branches classes by the least of their tokens
 that share four such tokens in order share a node. Classes already in one component need no comparison any more, so the size
 of a node is the number of its pairs across components. A node of at most ``SMALL`` pairs is compared exhaustively. In a larger
 one a class, the pivot, is compared with all, so a large group of near copies is done at once; what stays apart then branches on
-by the next token, every third node by a second one too, so that on average 4/3 branches keep a similar pair together at each
-level. ``SMALL`` grows by four with the level, up to level ``LEVELS``; nodes that are still larger then are worked off pivot by
+by a token of its own for each tree, level and child: into four children at the first of these levels, and into two at the others.
+``SMALL`` grows by four with the level, up to level ``LEVELS``; nodes that are still larger then are worked off pivot by
 pivot. Candidates need as many equal later tokens as all but one in ten million pairs at the threshold have, and are then
 confirmed on the full sets.
 
-Two classes at similarity s meet in one of the trees at the first level with probability 1 - (1 - s**4)**TREES:
-0.99999 for s = 0.75. A node is never read by one task as a whole unless it is small.
+Two classes at similarity s meet in one of the trees at the first level with probability 1 - (1 - s**4)**TREES, and miss each
+other once in 90,000 times for s = 0.75. If all the nodes they meet in are large at every level, they miss each other once in
+79,000 times at the deepest. Tokens below the first level are made from the texts of the classes in large nodes only.
 
 Texts without words, null ones included, have no set and stay alone. Repeated rows are of one class. A null ``doc_id`` never
 represents others. Equal ids with different texts are different members of their classes.
@@ -19,7 +20,7 @@ represents others. Equal ids with different texts are different members of their
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,10 @@ from docfold.session import written
 
 SHINGLE = 5
 PERCENT = 75
-TREES, FIRST, POOL, LEVELS = 30, 4, 48, 5
+TREES, FIRST, POOL, LEVELS = 30, 4, 48, 4
+#: Children of a large node at each level below the first; every tree, level and child has a token of its own.
+CHILDREN = (4, 2, 2)
+DEEP = TREES * sum(CHILDREN)
 SMALL = 512
 #: Of ``POOL`` tokens, each equal with probability 0.75 or more, fewer are equal in one of ten million pairs.
 EQUAL_TOKENS = 19
@@ -43,6 +47,8 @@ _ORDER = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0
 _MIX_A, _MIX_B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _SEEDS = _RNG.integers(1, 1 << 63, TREES * FIRST + POOL).astype(np.uint64)
 _FACTORS = _RNG.integers(1, 1 << 63, TREES * FIRST + POOL).astype(np.uint64) | np.uint64(1)
+_DEEP_SEEDS = _RNG.integers(1, 1 << 63, DEEP).astype(np.uint64)
+_DEEP_FACTORS = _RNG.integers(1, 1 << 63, DEEP).astype(np.uint64) | np.uint64(1)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -80,10 +86,10 @@ def set_id(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).view(np.int64))
 
 
-def minwise(shingles: np.ndarray) -> np.ndarray:
-    least = np.full(len(_SEEDS), (1 << 64) - 1, np.uint64)
+def minwise(shingles: np.ndarray, seeds: np.ndarray = _SEEDS, factors: np.ndarray = _FACTORS) -> np.ndarray:
+    least = np.full(len(seeds), (1 << 64) - 1, np.uint64)
     for part in np.array_split(shingles, max(1, len(shingles) // 2000)):
-        least = np.minimum(least, ((part[:, None] ^ _SEEDS) * _FACTORS).min(0))
+        least = np.minimum(least, ((part[:, None] ^ seeds) * factors).min(0))
     return least
 
 
@@ -115,19 +121,30 @@ def signatures(docs: DataFrame) -> DataFrame:
     return doc_columns(docs).withColumn("k", F.xxhash64("text")).mapInArrow(run, "doc_id bigint, k bigint, n bigint, v bigint, nodes array<bigint>, later binary")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
-    """``v, shingles`` of the classes in ``wanted`` (``v, doc_id``), from their texts."""
+def _of_classes(docs: DataFrame, wanted: DataFrame, repeated: bool, name: str, kind: str, made: Callable[[np.ndarray], object]) -> DataFrame:
+    """``v`` and what ``made`` gives for the set of each class in ``wanted`` (``v, doc_id``), from their texts."""
+    schema = f"v bigint, {name} {kind}"
+    arrow = {"binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}[kind]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
         for batch in batches:
             for part in slices(batch):
                 found = [(v, own) for v, own in zip(part.column("v").to_pylist(), map(shingles.of, part.column("text").to_pylist())) if len(own) and set_id(own) == v]
-                arrays = pa.array([own.view(np.int64) for _, own in found], pa.list_(pa.int64()))
-                yield pa.record_batch([pa.array([v for v, _ in found], pa.int64()), arrays], names=["v", "shingles"])
+                yield pa.record_batch([pa.array([v for v, _ in found], pa.int64()), pa.array([made(own) for _, own in found], arrow)], names=["v", name])
+
+    out = doc_columns(docs).join(wanted, "doc_id").select("v", "text").mapInArrow(run, schema)
+    return out.dropDuplicates(["v"]) if repeated else out
 
-    sets = doc_columns(docs).join(wanted, "doc_id").select("v", "text").mapInArrow(run, "v bigint, shingles array<bigint>")
-    return sets.dropDuplicates(["v"]) if repeated else sets
+
+def _sets(docs: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
+    """``v, shingles`` of the classes in ``wanted``."""
+    return _of_classes(docs, wanted, repeated, "shingles", "array<bigint>", lambda own: own.view(np.int64))
+
+
+def _deep(docs: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
+    """``v, deep`` of the classes in ``wanted``: 16 bits of each token below the first level."""
+    return _of_classes(docs, wanted, repeated, "deep", "binary", lambda own: _mixed(minwise(own, _DEEP_SEEDS, _DEEP_FACTORS)).astype("<u2").tobytes())
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, signed: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
@@ -175,7 +192,7 @@ def linked_classes(docs: DataFrame, signed: DataFrame, small: int = SMALL, level
     repeated = bool(signed.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").take(1))
     nodes = signed.where("v is not null and doc_id is not null").select("v", "n", F.explode("nodes").alias("node")).distinct()
     nodes = nodes.select("node", "v", "n", F.col("v").alias("label"))
-    links, labels, level = None, None, 0
+    links, labels, deep, level = None, None, None, 0
     while True:
         pairs, rest = _pairs(nodes, small * 4 ** min(level, levels))
         found = written(_confirmed(pairs, classes, signed, docs, repeated), "links")
@@ -184,28 +201,26 @@ def linked_classes(docs: DataFrame, signed: DataFrame, small: int = SMALL, level
         if not rest.take(1):
             return labels
         if 0 < level < levels:
-            rest = _branched(rest, signed, level)
-        elif level == 0:  # once more as they are, now that most pairs lie within components
-            rest = rest.where("v != pivot").select("node", "v", "n")
-        else:  # the pivot is done with: all others of its node have met it
+            if deep is None:
+                deep = written(_deep(docs, classes.join(rest.select("v").distinct(), "v").select("v", "doc_id"), repeated), "deep")
+            rest = _branched(rest, deep, level)
+        else:  # at first once more as they are, now that most pairs lie within components; the pivot is done with: all others of its node have met it
             rest = rest.where("v != pivot").select("node", "v", "n")
         nodes = rest.join(labels, "v", "left").select("node", "v", "n", F.coalesce("label", "v").alias("label"))
         level += 1
 
 
-def _branched(rest: DataFrame, signed: DataFrame, level: int) -> DataFrame:
+def _branched(rest: DataFrame, deep: DataFrame, level: int) -> DataFrame:
     """The members of large nodes in the nodes of the next level."""
     tree = F.pmod("node", F.lit(32))
-    tokens = _tokens(signed, rest.select("v"))
 
     def child(step: int):
-        place = F.pmod(tree * 7 + F.lit(level + step), F.lit(POOL)).cast("int")
-        token = F.substring(F.col("later"), place * 2 + 1, 2)
+        place = tree * sum(CHILDREN) + sum(CHILDREN[: level - 1]) + step
+        token = F.substring(F.col("deep"), (place * 2 + 1).cast("int"), F.lit(2))
         return F.shiftleft(F.shiftright(F.xxhash64("node", token, F.lit(step)), 5), 5) + tree
 
-    both = F.array(child(0), child(POOL // 2))
-    chosen = F.when(F.pmod(F.xxhash64("node"), F.lit(3)) == 0, both).otherwise(F.slice(both, 1, 1))
-    return rest.join(tokens, "v").select("v", "n", F.explode(chosen).alias("node"))
+    children = F.array(*map(child, range(CHILDREN[level - 1])))
+    return rest.join(deep, "v").select("v", "n", F.explode(children).alias("node"))
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
