@@ -4,10 +4,11 @@ A text's set holds its distinct runs of five words, hashed to 64 bits. Texts wit
 compared. Each of ``TREES`` trees branches classes by the least of their tokens under the tree's hash functions: classes
 that share four such tokens in order share a node. Classes already in one component need no comparison any more, so the size
 of a node is the number of its pairs across components. A node of at most ``SMALL`` pairs is compared exhaustively. In a larger
-one a class, the pivot, is compared with all, so a large group of near copies is done at once; what stays apart then branches on
+one a class, the pivot, is compared with all, so a large group of near copies is done at once. What stays apart then is compared
+exhaustively too, if it has at most ``WIDE`` pairs: the classes outside the largest component with all, in blocks of ``BLOCK`` by
+``BLOCK``, so no task has a node as a whole. Still larger nodes branch on
 by a token of its own for each tree, level and child: into four children at the first of these levels, and into two at the others.
-``SMALL`` grows by four with the level, up to level ``LEVELS``; nodes that are still larger then are worked off pivot by
-pivot. Candidates need as many equal later tokens as all but one in ten million pairs at the threshold have, and are then
+At level ``LEVELS`` all nodes are compared in blocks, however large. Candidates need as many equal later tokens as all but one in ten million pairs at the threshold have, and are then
 confirmed on the full sets.
 
 Two classes at similarity s meet in one of the trees at the first level with probability 1 - (1 - s**4)**TREES, and miss each
@@ -38,9 +39,14 @@ TREES, FIRST, POOL, LEVELS = 30, 4, 48, 4
 #: Children of a large node at each level below the first; every tree, level and child has a token of its own.
 CHILDREN = (4, 2, 2)
 DEEP = TREES * sum(CHILDREN)
-SMALL = 512
+#: Pairs across components of a node that are listed in one row, and that are compared in blocks of ``BLOCK`` by ``BLOCK`` classes.
+SMALL, WIDE, BLOCK = 512, 1 << 22, 2048
+#: Parts of a block, each way, whose full sets are compared at once.
+PARTS = 4
 #: Of ``POOL`` tokens, each equal with probability 0.75 or more, fewer are equal in one of ten million pairs.
 EQUAL_TOKENS = 19
+#: The same for ``DEEP`` tokens.
+EQUAL_DEEP = 143
 _KNOWN_WORDS = 400_000
 _RNG = np.random.default_rng(11)
 _ORDER = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -167,26 +173,81 @@ def _tokens(signed: DataFrame, wanted: DataFrame) -> DataFrame:
     return written(tokens.join(wanted.distinct(), "v", "left_semi").distinct(), "tokens")
 
 
-def _pairs(nodes: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs ``a, b`` of the nodes (``node, v, n, label``), and the members of large nodes with their pivot."""
+def _pairs(nodes: DataFrame, small: int, wide: int | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Candidate pairs ``a, b`` of the nodes (``node, v, n, label``), members of nodes of ``small`` to ``wide`` pairs, members of larger ones with their pivot."""
     of_label = nodes.groupBy("node", "label").agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("v", "n")).alias("one"))
     of_node = of_label.groupBy("node").agg(
         F.count(F.lit(1)).alias("labels"), F.sum("size").alias("size"), F.sum(F.col("size") * F.col("size")).alias("squares"), F.max(F.struct("size", "label", "one")).alias("pivot")
     )
     cross = ((F.col("size") * F.col("size") - F.col("squares")) / 2).alias("cross")
     pivot = F.struct(F.col("pivot.label").alias("label"), F.col("pivot.one.v").alias("v"), F.col("pivot.one.n").alias("n")).alias("pivot")
-    joined = written(nodes.join(of_node.where("labels > 1").select("node", cross, pivot), "node"), "nodes")
+    outside = (F.col("size") - F.col("pivot.size")).alias("outside")
+    joined = written(nodes.join(of_node.where("labels > 1").select("node", "size", outside, cross, pivot), "node"), "nodes")
     near = lambda x, y: (100 * F.least(x, y) >= PERCENT * F.greatest(x, y))
-    # a node with few pairs across components has few members
+    # a node of two components or more has at most one member more than pairs across them
     members = joined.where(F.col("cross") <= small).groupBy("node").agg(F.collect_list(F.struct("v", "n", "label")).alias("m"))
     others = lambda x: F.filter("m", lambda y: (y["v"] > x["v"]) & (y["label"] != x["label"]) & near(x["n"], y["n"]))
     each = members.select(F.explode(F.flatten(F.transform("m", lambda x: F.transform(others(x), lambda y: F.struct(x["v"].alias("a"), y["v"].alias("b")))))).alias("p")).select("p.*")
-    large = joined.where(F.col("cross") > small)
+    blocks = joined.where((F.col("cross") > small) & (F.lit(wide is None) | (F.col("cross") <= (wide or 0))))
+    large = joined.where((F.col("cross") > max(small, wide)) if wide is not None else F.lit(False))
     star = large.where((F.col("label") != F.col("pivot.label")) & near(F.col("n"), F.col("pivot.n"))).select(F.least("v", "pivot.v").alias("a"), F.greatest("v", "pivot.v").alias("b"))
-    return written(each.unionAll(star).distinct(), "pairs"), large.select("node", "v", "n", F.col("pivot.v").alias("pivot"))
-
-
-def linked_classes(docs: DataFrame, signed: DataFrame, small: int = SMALL, levels: int = LEVELS) -> DataFrame:
+    blocks = blocks.select("node", "v", "n", "label", (F.col("label") != F.col("pivot.label")).alias("outer"), "size", "outside")
+    return written(each.unionAll(star).distinct(), "pairs"), blocks, large.select("node", "v", "n", F.col("pivot.v").alias("pivot"))
+
+
+def _compared(table: pa.Table) -> pa.Table:
+    """Pairs of one block's ``left`` rows with its other ones that differ in label and may be similar."""
+    left, right = (table.filter(pa.compute.equal(table["left"], side)) for side in (True, False))
+    number = lambda rows, name: rows[name].to_numpy()
+    sketch = lambda rows: np.frombuffer(b"".join(rows["deep"].to_pylist()), "<u2").reshape(-1, DEEP).astype(np.uint8).T.copy()
+    found: list = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    if len(left) and len(right):
+        v, n, label, outer, y = number(right, "v"), number(right, "n"), number(right, "label"), right["outer"].to_numpy(zero_copy_only=False), sketch(right)
+        own_v, own_n, own_label, x = number(left, "v"), number(left, "n"), number(left, "label"), sketch(left)
+        for at in range(0, len(own_v), 128):
+            part = slice(at, at + 128)
+            a, size = own_v[part, None], own_n[part, None]
+            fits = (own_label[part, None] != label) & (100 * np.minimum(size, n) >= PERCENT * np.maximum(size, n)) & (~outer | (v > a))
+            if fits.any():
+                equal = np.zeros(fits.shape, np.uint8)
+                for mine, other in zip(x[:, part], y):
+                    equal += mine[:, None] == other
+                i, j = np.nonzero(fits & (equal >= EQUAL_DEEP))
+                found.append((own_v[part][i], v[j]))
+    a, b = (np.concatenate(c) for c in zip(*found))
+    first = [pa.array(np.full(len(a), table[c][0].as_py(), np.int64)) for c in ("node", "i", "j")]
+    return pa.table([*first, pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["node", "i", "j", "a", "b"])
+
+
+def _similar(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+    """Those pairs of one part of a block whose full sets are similar enough."""
+    own = {v: s.values.to_numpy() for v, s in zip(sets["v"].to_pylist(), sets["shingles"])}
+    found = []
+    for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
+        common = len(np.intersect1d(own[a], own[b], assume_unique=True))
+        if 100 * common >= PERCENT * (len(own[a]) + len(own[b]) - common):
+            found.append((a, b))
+    return pa.table([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+
+def _block_links(blocks: DataFrame, deep: DataFrame, classes: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
+    """Links ``a, b`` across the components of each node: the classes outside its largest one with all, block by block."""
+    count = lambda c: F.ceil(F.col(c) / BLOCK).cast("bigint")
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("bigint"), count(c) - 1))
+    rows = blocks.join(deep, "v")
+    cells = ["v", "n", "label", "outer", "deep"]
+    left = rows.where("outer").select("node", F.pmod(F.xxhash64("v"), count("outside")).alias("i"), every("size").alias("j"), F.lit(True).alias("left"), *cells)
+    right = rows.select("node", every("outside").alias("i"), F.pmod(F.xxhash64("v"), count("size")).alias("j"), F.lit(False).alias("left"), *cells)
+    found = left.unionAll(right).groupBy("node", "i", "j").applyInArrow(_compared, "node bigint, i bigint, j bigint, a bigint, b bigint")
+    part = lambda c: F.pmod(F.xxhash64(c, F.lit("part")), F.lit(PARTS))
+    once = found.groupBy("a", "b").agg(F.min(F.struct("node", "i", "j")).alias("at"))
+    pairs = written(once.select(F.xxhash64("at.node", "at.i", "at.j", part("a"), part("b")).alias("cell"), "a", "b"), "block_pairs")
+    members = pairs.select(F.col("cell").alias("of"), F.explode(F.array("a", "b")).alias("v")).distinct()
+    sets = written(_sets(docs, classes.join(members.select("v").distinct(), "v").select("v", "doc_id"), repeated), "sets")
+    return pairs.groupBy("cell").cogroup(members.join(sets, "v").groupBy("of")).applyInArrow(_similar, "a bigint, b bigint")
+
+
+def linked_classes(docs: DataFrame, signed: DataFrame, small: int = SMALL, levels: int = LEVELS, wide: int = WIDE) -> DataFrame:
     """``v, label`` of every class that is linked with another one; ``signed`` are the written :func:`signatures`."""
     classes = signed.where("v is not null").groupBy("v").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
     repeated = bool(signed.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").take(1))
@@ -194,17 +255,21 @@ def linked_classes(docs: DataFrame, signed: DataFrame, small: int = SMALL, level
     nodes = nodes.select("node", "v", "n", F.col("v").alias("label"))
     links, labels, deep, level = None, None, None, 0
     while True:
-        pairs, rest = _pairs(nodes, small * 4 ** min(level, levels))
-        found = written(_confirmed(pairs, classes, signed, docs, repeated), "links")
+        # first only with a pivot, so that most pairs of large nodes lie within components; at last whatever is left
+        pairs, blocks, rest = _pairs(nodes, small, small if level == 0 else wide if level < levels else None)
+        found = _confirmed(pairs, classes, signed, docs, repeated)
+        if deep is not None and blocks.take(1):
+            found = found.unionAll(_block_links(blocks, deep, classes, docs, repeated))
+        found = written(found, "links")
         links = found if links is None else written(links.unionAll(found).distinct(), "links")
         labels = written(components(links), "labels")
         if not rest.take(1):
             return labels
-        if 0 < level < levels:
-            if deep is None:
-                deep = written(_deep(docs, classes.join(rest.select("v").distinct(), "v").select("v", "doc_id"), repeated), "deep")
+        if deep is None:
+            deep = written(_deep(docs, classes.join(rest.select("v").distinct(), "v").select("v", "doc_id"), repeated), "deep")
+        if level > 0:
             rest = _branched(rest, deep, level)
-        else:  # at first once more as they are, now that most pairs lie within components; the pivot is done with: all others of its node have met it
+        else:  # the pivot is done with: all others of its node have met it
             rest = rest.where("v != pivot").select("node", "v", "n")
         nodes = rest.join(labels, "v", "left").select("node", "v", "n", F.coalesce("label", "v").alias("label"))
         level += 1

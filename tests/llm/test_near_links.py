@@ -4,7 +4,9 @@ import random
 
 from pyspark.sql import functions as F
 
-from docfold.llm.near_duplicates import LEVELS, _branched, _deep, signatures
+from docfold.llm import near_duplicates
+from docfold.llm.near_duplicates import LEVELS, _branched, _deep, linked_classes, signatures
+from docfold.session import written
 
 
 def planted(seed, classes, words=220, far=8, near=6):
@@ -47,3 +49,40 @@ def test_links_survive_all_levels(spark):
     pair = signed.select("v", F.floor(F.col("doc_id") / 2).alias("pair"))
     met = nodes.join(pair, "v").groupBy("node", "pair").count().where("count = 2").select("pair").distinct().count()
     assert met == 300
+
+
+def test_one_large_component_beside_outsiders(spark, monkeypatch):
+    """Each outsider of a large node is linked by one late comparison; the number of rounds does not grow with the component."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join([*base[:60], f"c{i}", *base[61:]])) for i in range(400)]
+    for i in range(40):
+        places = rng.sample(range(10, 145, 12), 7)
+        own = [f"o{i}_{k}" if k in places else w for k, w in enumerate(base)]
+        rows += [(1000 + 2 * i, " ".join(own)), (1001 + 2 * i, " ".join([*own[:146], f"p{i}", *own[147:]]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    rounds = []
+    one = near_duplicates._pairs
+    monkeypatch.setattr(near_duplicates, "_pairs", lambda *a: rounds.append(1) or one(*a))
+    monkeypatch.setattr(near_duplicates, "BLOCK", 64)
+    signed = written(signatures(docs), "signatures")
+    labels = {r["v"]: r["label"] for r in linked_classes(docs, signed, 1, 1).collect()}
+    found = {r["doc_id"]: labels.get(r["v"], r["v"]) for r in signed.select("doc_id", "v").collect()}
+    parent = {d: d for d, _ in rows}
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    sets = [(d, {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)}) for d, t in rows]
+    for k, (d, x) in enumerate(sets):
+        for e, y in sets[k + 1 :]:
+            if 4 * len(x & y) >= 3 * len(x | y):
+                parent[root(e)] = root(d)
+    groups, want = {}, {}
+    for d, _ in rows:
+        groups.setdefault(found[d], set()).add(d)
+        want.setdefault(root(d), set()).add(d)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+    assert len(want) > 20 and len(rounds) == 2
