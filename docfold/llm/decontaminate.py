@@ -156,29 +156,55 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
 def remove_overlaps(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` with benchmark passages cut out of ``text`` until none is left; other rows and columns stay as they are.
 
-    What is cut can make neighbours of words that were apart, so a changed text is scanned again.
+    What is cut can make neighbours of words that were apart, so a changed text is scanned again, by the same block at once and
+    by all blocks if there are several, until a whole round changes nothing.
     """
-    spark, out = docs.sparkSession, docs
-    for k, block in enumerate(list(_blocks(benchmark, block_chars))):
-        known = spark.sparkContext.broadcast(Windows(block, n))
-
-        def run(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in slices(batch):
-                    texts = part.column("text").to_pylist()
-                    changed = {}
-                    for i, (_, spans, _) in enumerate(known.value.scan(texts)):
-                        while spans:
-                            changed[i] = cut_words(changed.get(i, texts[i]), spans)
-                            spans = known.value.scan([changed[i]])[0][1]
-                    if changed:
-                        texts = [changed.get(i, t) for i, t in enumerate(texts)]
-                        where = part.schema.get_field_index("text")
-                        part = part.set_column(where, part.schema.field(where), pa.array(texts, part.schema.field(where).type))
-                    yield part
-
-        out = (written(out, "overlaps") if k else out).mapInArrow(run, out.schema)
-    return out
+    spark, columns = docs.sparkSession, docs.columns
+    mark = "changed"
+    while mark in columns:
+        mark += "_"
+    unsettled, done = docs.withColumn(mark, F.lit(False)), []
+    while True:
+        out, several = unsettled, False
+        for k, block in enumerate(_blocks(benchmark, block_chars)):
+            known = spark.sparkContext.broadcast(Windows(block, n))
+
+            def run(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    for part in slices(batch):
+                        yield _cut(part, mark, known.value)
+
+            several = k > 0
+            out = (written(out, "overlaps") if k else out).mapInArrow(run, out.schema)
+        if not several:
+            done.append(out.select(columns))
+            break
+        out = written(out, "overlaps")
+        done.append(out.where(~F.col(mark)).select(columns))
+        unsettled = out.where(F.col(mark)).withColumn(mark, F.lit(False))
+        if not unsettled.take(1):
+            break
+    whole = done[0]
+    for more in done[1:]:
+        whole = whole.unionAll(more)
+    return whole
+
+
+def _cut(part: pa.RecordBatch, mark: str, known: Windows) -> pa.RecordBatch:
+    """The part without passages of this block; ``mark`` is set in rows that it has changed."""
+    texts = part.column("text").to_pylist()
+    changed = {}
+    for i, (_, spans, _) in enumerate(known.scan(texts)):
+        while spans:
+            changed[i] = cut_words(changed.get(i, texts[i]), spans)
+            spans = known.scan([changed[i]])[0][1]
+    if not changed:
+        return part
+    values = {"text": [changed.get(i, t) for i, t in enumerate(texts)], mark: [i in changed or was for i, was in enumerate(part.column(mark).to_pylist())]}
+    for name, value in values.items():
+        where = part.schema.get_field_index(name)
+        part = part.set_column(where, part.schema.field(where), pa.array(value, part.schema.field(where).type))
+    return part
 
 
 def overlap_digest(found: DataFrame) -> DataFrame:
