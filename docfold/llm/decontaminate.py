@@ -101,9 +101,9 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list]:
-    items = benchmark.select(benchmark["item_id"].cast("bigint").alias("item_id"), benchmark["text"].alias("text")).where("text is not null")
+    items = benchmark.select(benchmark["item_id"].cast("bigint").alias("item_id"), benchmark["text"].alias("text")).where("text is not null").distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    count = -(-total // block_chars)
+    count = max(1, -(-total // block_chars))  # one empty block of an empty benchmark
     for k in range(count):
         block = items if count == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k)
         yield [tuple(row) for row in block.toLocalIterator()]
@@ -118,7 +118,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, block_
     empty = F.from_json(F.lit("{}"), FOUND)
     at = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))
     at = at.select("doc_id", "text", F.lit(0).cast("bigint").alias("n_words"), empty["spans"].alias("spans"), empty["items"].alias("items"))
-    for k, block in enumerate(list(_blocks(benchmark, block_chars)) or [[]]):
+    for k, block in enumerate(_blocks(benchmark, block_chars)):
         known = spark.sparkContext.broadcast(Windows(block, n))
 
         def run(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:

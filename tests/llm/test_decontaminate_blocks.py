@@ -21,3 +21,22 @@ def test_windows_made_by_later_blocks_are_cut(spark):
     assert many == one
     assert all(len(t.split()) == 2 for _, t in many)
     assert not any(r["items"] for r in decontaminate.find_overlaps(spark.createDataFrame(many, frame.schema), bench).collect())
+
+
+def test_blocks_are_read_one_by_one_and_repeated_items_once(spark, monkeypatch):
+    seen, blocks, init = [], decontaminate._blocks, decontaminate.Windows.__init__
+
+    def logged(*args):
+        for block in blocks(*args):
+            seen.append("read")
+            yield block
+
+    monkeypatch.setattr(decontaminate, "_blocks", logged)
+    monkeypatch.setattr(decontaminate.Windows, "__init__", lambda *a: seen.append("made") or init(*a))
+    items = [(i, " ".join(f"w{i}_{k}" for k in range(12))) for i in range(12)]
+    bench = spark.createDataFrame(items + items[:1] * 40, "item_id bigint, text string")
+    docs = spark.createDataFrame([(i, t) for i, t in items], "doc_id bigint, text string")
+    found = decontaminate.find_overlaps(docs, bench, block_chars=300)
+    assert len(seen) > 2 and seen == ["read", "made"] * (len(seen) // 2)
+    assert sorted(r["items"] for r in found.collect()) == [[i] for i in range(12)]
+    assert sum(len(b) for b in blocks(bench, 300)) == 12
