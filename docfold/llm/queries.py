@@ -14,6 +14,7 @@ from docfold.llm.fingerprints import compare_with_edits, lexicon
 from docfold.llm.line_dedup import delete_repeated_lines
 from docfold.llm.near_duplicates import near_duplicate_groups
 from docfold.llm.packing import pack, with_checksums
+from docfold.llm.periodic_runs import periodic_runs, runs_digest, with_planted_repeats
 from docfold.llm.wavelet import read_shards, shard_documents, write_shards
 
 
@@ -67,6 +68,10 @@ def op10_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_checksums(pack(table(spark, sf_dir, "documents"), end_id=1))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs_digest(periodic_runs(with_planted_repeats(table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_ownership": op1_secret_ownership,
     "op2_near_duplicates": op2_near_duplicates,
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_personal_data": op9_personal_data,
     "op10_curve_packing": op10_curve_packing,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {}
