@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docfold.llm import language, personal_data, secrets, toxicity
 from docfold.llm.common import table
 from docfold.llm.decontaminate import find_overlaps, overlap_digest
+from docfold.llm.exact_fit import pack_whole
 from docfold.llm.fingerprints import compare_with_edits, lexicon
 from docfold.llm.line_dedup import delete_repeated_lines
 from docfold.llm.near_duplicates import near_duplicate_groups
@@ -68,6 +69,10 @@ def op10_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_checksums(pack(table(spark, sf_dir, "documents"), end_id=1))
 
 
+def op11_exact_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_whole(table(spark, sf_dir, "documents"), end_id=0).drop("ids")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs_digest(periodic_runs(with_planted_repeats(table(spark, sf_dir, "documents"))))
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_personal_data": op9_personal_data,
     "op10_curve_packing": op10_curve_packing,
+    "op11_exact_fit": op11_exact_fit,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
