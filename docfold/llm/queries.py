@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfold.llm import language, personal_data, secrets, toxicity
+from docfold.llm import alignment, language, personal_data, secrets, toxicity
 from docfold.llm.common import table
 from docfold.llm.decontaminate import find_overlaps, overlap_digest
 from docfold.llm.exact_fit import pack_whole
@@ -73,6 +73,10 @@ def op11_exact_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_whole(table(spark, sf_dir, "documents"), end_id=0).drop("ids")
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))[0]
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs_digest(periodic_runs(with_planted_repeats(table(spark, sf_dir, "documents"))))
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_personal_data": op9_personal_data,
     "op10_curve_packing": op10_curve_packing,
     "op11_exact_fit": op11_exact_fit,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
