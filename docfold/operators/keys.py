@@ -66,6 +66,24 @@ def rows_with_keys(rows: DataFrame, counted: DataFrame, keys: Sequence[str], hot
     return hot_rows.unionByName(rest)
 
 
+def looked_up(rows: DataFrame, values: DataFrame, keys: Sequence[str], hot_keys: int = HOT_KEYS) -> DataFrame:
+    """``rows`` with the other columns of ``values``, which has one row per key; NULL where it has none.
+
+    Keys that very many rows share are matched by broadcast, a bounded list as in :func:`rows_with_keys`, so the shuffled rest is balanced
+    without help from adaptive execution. A NULL key matches nothing.
+    """
+    keys = list(keys)
+    counted = key_counts(rows.where(reduce(and_, [F.col(k).isNotNull() for k in keys])), keys)
+    hot = counted.where(F.col(ROWS) > 1).orderBy(F.desc(ROWS), *keys).limit(hot_keys).select(*keys)
+    if not hot.take(1):
+        return rows.join(values, keys, "left").select(*rows.columns, *[c for c in values.columns if c not in keys])
+    others = [c for c in values.columns if c not in keys]
+    hot = F.broadcast(hot.join(values, keys, "left").withColumn("__hot", F.lit(True)))
+    flagged = rows.join(hot, keys, "left")
+    rest = flagged.where(F.col("__hot").isNull()).select(*rows.columns).join(values, keys, "left")
+    return flagged.where("__hot").select(*rows.columns, *others).unionByName(rest.select(*rows.columns, *others))
+
+
 def unmatched_counts(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str]) -> DataFrame:
     """Key counts of the ``left`` rows that no ``right`` row matches; a NULL key matches nothing.
 

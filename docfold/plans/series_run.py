@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docfold.functions.documents import trailing_id
+from docfold.operators.chains import chain_faults, page_chain
 from docfold.operators.checks import Check, evaluate, gate, stored_totals, summarise, violations
 from docfold.operators.flatten import bridge, flatten
 from docfold.operators.merge import reject_null_keys
@@ -27,6 +29,7 @@ from docfold.plans.series_model import (
     RAW_TABLES,
     series_checks,
 )
+from docfold.sources.envelopes import read_split_envelopes
 from docfold.sources.landing import (
     latest_file,
     load_raw,
@@ -60,7 +63,8 @@ class SeriesRun:
 
     With ``pages``, page files from ``<pages>/<entity>/`` are first landed as record lines, which load in parallel.
     ``rejects`` holds bridge rows without a complete key after a transform. ``keep_versions`` limits the stored versions
-    of each table: the current one, and those that running readers may still use. ``results`` and ``checks`` are those of the
+    of each table: the current one, and those that running readers may still use. Enveloped files of more than ``split_above`` bytes are
+    read by several tasks each. ``results`` and ``checks`` are those of the
     last quality step, also if it failed.
     """
 
@@ -70,6 +74,7 @@ class SeriesRun:
     raw_database: str = RAW_DATABASE
     model_database: str = MODEL_DATABASE
     keep_versions: int = 2
+    split_above: int = 128 << 20
     metrics: list[tuple[str, int, float]] = field(default_factory=list)
     rejects: DataFrame | None = None
     results: DataFrame | None = None
@@ -84,11 +89,19 @@ class SeriesRun:
         for entity in RAW_TABLES:
             pages = read_pages(self.spark, f"{self.pages}/{entity}")
             faults = page_faults(pages, [], "page", "next", "results").first().asDict()
+            if not any(faults.values()):
+                faults = self._link_faults(pages)
             if any(faults.values()):
                 raise IncompleteInputError(f"{entity} pages: {', '.join(f'{k} {v}' for k, v in faults.items() if v)}")
             records = union_pages(pages, ["page"]).select("record")
             write_snapshot(records, self.landing, entity, f"{self.pages}/{entity}")
 
+    def _link_faults(self, pages: DataFrame) -> dict[str, int]:
+        """What is wrong with the pages that ``next`` names; every address must end in a page number."""
+        number = F.coalesce(trailing_id("next", strict=False), F.when(F.col("next").isNotNull(), -1))
+        linked = pages.select("page", number.alias("next"))
+        return chain_faults(page_chain(linked, [], "page", "next"), [], "page").drop("pages", "chain_length", "first_page").first().asDict()
+
     def load_raw(self) -> None:
         """Replaces RAW by the newest snapshot; the version before stays readable."""
         for entity, spec in RAW_TABLES.items():
@@ -96,7 +109,9 @@ class SeriesRun:
                 rows = load_records(read_latest_records(self.spark, self.landing, entity), id_type="int")
             else:
                 newest = latest_file(self.spark, f"{self.landing}/{entity}", entity)
-                rows = load_raw(read_envelopes(self.spark, newest), id_type="int")
+                large = self._is_large(newest)
+                records = read_split_envelopes(self.spark, newest)[1] if large else read_envelopes(self.spark, newest)
+                rows = load_raw(records, id_type="int")
             replace_table(self.spark, self.raw_database, spec, rows)
             drop_old_versions(self.spark, self.raw_database, spec, self.keep_versions)
 
@@ -114,7 +129,12 @@ class SeriesRun:
             manifests = read_manifests(self.spark, self.landing, entity)
             return latest_snapshot(manifests, [], "ingested_at").withColumnRenamed("snapshot", "source_file")
         newest = latest_file(self.spark, f"{self.landing}/{entity}", entity)
-        return read_envelopes(self.spark, newest).withColumnRenamed("file_name", "source_file")
+        heads = read_split_envelopes(self.spark, newest)[0] if self._is_large(newest) else read_envelopes(self.spark, newest)
+        return heads.withColumnRenamed("file_name", "source_file")
+
+    def _is_large(self, path: str) -> bool:
+        """Whether a file is to be read by several tasks; only its size is looked at."""
+        return self.spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] > self.split_above
 
     def setup_model(self) -> None:
         """Empties the model, so that the next transform is a full refresh."""

@@ -83,11 +83,13 @@ def load_raw(
     load_ts=None,
     strict: bool = True,
 ) -> DataFrame:
-    """RAW rows ``(id, raw_data, ingested_at, source_file)`` from whole documents or typed envelopes.
+    """RAW rows ``(id, raw_data, ingested_at, source_file)`` from whole documents, typed envelopes or single records.
 
-    Whole documents (``doc``) are exploded at ``array_path``; envelopes (``data``) by element.
+    Whole documents (``doc``) are exploded at ``array_path``; envelopes (``data``) by element; records (``value``) are taken as they are.
     """
-    if "data" in df.columns:
+    if "value" in df.columns:
+        items = df.select("file_name", "value")
+    elif "data" in df.columns:
         held = F.col("data")
         if strict:  # a snapshot without its records must not pass for an empty one
             missing = F.concat(F.col("file_name"), F.lit(" holds no data"))

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from docfold.plans.table_queries import ORACLES, QUERIES, TABLES
+from docfold.plans.queries import ORACLES, QUERIES, TABLES
 
 DATA = "/root/testdata/sf0.001"
 
