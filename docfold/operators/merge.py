@@ -115,9 +115,13 @@ def _tagged_upsert(target, source, keys, rest, changed) -> DataFrame:
 
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows as they are, plus the source rows with a new key."""
+    return target.unionByName(new_rows(target, source, keys).select(*target.columns))
+
+
+def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source rows with a key that the target does not hold."""
     stored, names = renamed_keys(target, keys)
-    new = source.join(stored, all_equal(keys, names), "left_anti")
-    return target.unionByName(new.select(*target.columns))
+    return source.join(stored, all_equal(keys, names), "left_anti")
 
 
 def upsert_actions(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -31,10 +31,11 @@ class ForeignKey:
 class TableSpec:
     """A table with the keys Spark's Parquet tables cannot declare themselves.
 
-    A large table takes one of two layouts. ``buckets`` hash-buckets the files on the key: a merge shuffles only its
+    A large table takes one of three layouts. ``buckets`` hash-buckets the files on the key: a merge shuffles only its
     source, and rewrites the table, so it suits sources that touch most of it; key checks on it need no shuffle.
     ``slices`` partitions the table by a hash of the key: a merge rewrites only the slices its source touches, so it
-    suits small sources. Either way a part should fit a task; ``parts_for`` suggests a number.
+    suits small sources. ``ranges`` cuts the table into files by ranges of the key: a merge rewrites only the files that hold a key of its
+    source, so it suits sources that touch a stretch of keys, such as the newest. A part should fit a task; ``parts_for`` suggests a number.
     """
 
     name: str
@@ -43,10 +44,11 @@ class TableSpec:
     foreign_keys: tuple[ForeignKey, ...] = ()
     buckets: int | None = None
     slices: int | None = None
+    ranges: int | None = None
 
     def __post_init__(self):
-        if self.buckets and self.slices:
-            raise ValueError(f"{self.name}: choose buckets or slices")
+        if sum(map(bool, (self.buckets, self.slices, self.ranges))) > 1:
+            raise ValueError(f"{self.name}: choose buckets, slices or ranges")
 
     @property
     def column_names(self) -> list[str]:
