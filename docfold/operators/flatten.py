@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,12 +12,14 @@ from docfold.functions.timing import load_time
 from docfold.specs import BridgeSpec, FlattenSpec
 
 
-def flatten(raw: DataFrame, spec: FlattenSpec, doc: str = "raw_data", strict: bool = True, load_ts=None) -> DataFrame:
-    """One flat row per document, one typed column per declared path."""
+def flatten(
+    raw: DataFrame, spec: FlattenSpec, doc: str = "raw_data", strict: bool = True, load_ts=None, carry: Mapping[str, str] | None = None
+) -> DataFrame:
+    """One flat row per document, one typed column per declared path. ``carry`` names columns of ``raw`` that go along, as ``{new: old}``."""
     columns = [field(doc, f.path, f.type, strict).alias(f.column) for f in spec.fields]
     if spec.stamp:
         columns.append(load_time(load_ts).alias(spec.stamp))
-    return raw.select(*columns)
+    return raw.select(*columns, *[F.col(old).alias(new) for new, old in (carry or {}).items()])
 
 
 def cast_rejects(raw: DataFrame, spec: FlattenSpec, doc: str = "raw_data") -> DataFrame:

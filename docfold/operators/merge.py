@@ -124,6 +124,22 @@ def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataF
     return source.join(stored, all_equal(keys, names), "left_anti")
 
 
+def not_older(target: DataFrame, source: DataFrame, keys: Sequence[str], stamp: str) -> DataFrame:
+    """One source row per key, that of the greatest ``stamp``, unless the target holds the key with a greater one.
+
+    A NULL stamp is older than any other. Rows with a NULL key match nothing and all stay. Of equal stamps the row that is greater as a whole
+    counts, so the order of the source does not matter.
+    """
+    keyed, loose = reject_null_keys(source, keys)
+    row = F.struct(stamp, *[c for c in source.columns if c != stamp])
+    keyed = keyed.groupBy(*keys).agg(F.max(row).alias("__row")).select("__row.*").select(*source.columns)
+    names = [f"__key{i}" for i in range(len(keys))]
+    held = target.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.max(stamp).alias("__held"))
+    joined = keyed.join(held, all_equal(keys, names), "left")
+    late = F.coalesce(F.col(stamp) < F.col("__held"), F.col("__held").isNotNull())
+    return joined.where(~late).select(*source.columns).unionByName(loose)
+
+
 def upsert_actions(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``(action, n)``: how many rows a merge updates, inserts and keeps.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docfold.plans import landing_queries  # noqa: F401 - registers its queries
+from docfold.plans import landing_queries, merge_queries  # noqa: F401 - they register their queries
 from docfold.plans.table_queries import ORACLES, QUERIES, TABLES, model_quality
 
 __all__ = ["ORACLES", "QUERIES", "TABLES", "model_quality"]

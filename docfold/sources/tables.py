@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docfold.operators.keys import FIXED_WIDTH, all_equal, renamed_keys
-from docfold.operators.merge import insert_only, new_rows, reject_null_keys, upsert
+from docfold.operators.merge import insert_only, new_rows, not_older, reject_null_keys, upsert
 from docfold.specs import Column, TableSpec
 
 SLICE = "key_slice"
@@ -166,13 +166,19 @@ def completed(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def upsert_table(
-    spark: SparkSession, database: str, spec: TableSpec, source: DataFrame, update_cols: Sequence[str] | None = None
+    spark: SparkSession,
+    database: str,
+    spec: TableSpec,
+    source: DataFrame,
+    update_cols: Sequence[str] | None = None,
+    newest_by: str | None = None,
 ) -> None:
     """Keyed upsert into a stored table.
 
     With buckets, only the source is shuffled: the stored side is read bucket by bucket. With slices, only the touched
     ones are read and rewritten. An empty table just takes the source. Columns that the source lacks keep their value in
-    updated rows and get their default in inserted ones. Stored rows that share a key are all updated.
+    updated rows and get their default in inserted ones. Stored rows that share a key are all updated. With ``newest_by``, a row
+    that is stored with a greater value of that column stays as it is, so batches may come in any order and more than once.
     """
     given = [c for c in spec.column_names if c in source.columns and c not in spec.key]
     changed = given if update_cols is None else list(update_cols)
@@ -182,6 +188,8 @@ def upsert_table(
     source = completed(source, spec)
     base = versions(spark, database, spec.name)[-1]
     stored = spark.table(f"`{database}`.`{spec.name}__v{base}`")
+    if newest_by:
+        source = not_older(stored.where(_bounds(source, spec)), source, spec.key, newest_by)
     if stored.isEmpty():
         return replace_table(spark, database, spec, source, base=base)
     every = set(changed) == set(spec.column_names) - set(spec.key)

@@ -21,17 +21,25 @@ def landed_lines(spark: SparkSession, folder: str, files_per_batch: int | None =
 
 
 def merge_landed(
-    lines: DataFrame, database: str, table: TableSpec, fields: FlattenSpec, checkpoint: str, id_type: str = "bigint"
+    lines: DataFrame,
+    database: str,
+    table: TableSpec,
+    fields: FlattenSpec,
+    checkpoint: str,
+    id_type: str = "bigint",
+    newest_by: str | None = None,
 ) -> StreamingQuery:
     """Upserts each batch into a stored table.
 
     If a batch spans several snapshots of a record, the newest counts. A batch that is replayed after a failure changes
-    nothing, as the merge is idempotent.
+    nothing, as the merge is idempotent. ``newest_by`` names a column of the table that takes the snapshot's stamp; then a snapshot that lands late does
+    not overwrite rows of a newer one either.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
         newest = latest_snapshot(load_records(batch, id_type=id_type), ["id"], "source_file")
-        upsert_table(batch.sparkSession, database, table, flatten(newest, fields))
+        rows = flatten(newest, fields, carry={newest_by: "source_file"} if newest_by else None)
+        upsert_table(batch.sparkSession, database, table, rows, newest_by=newest_by)
 
     writer = lines.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
