@@ -51,8 +51,8 @@ def upsert(
 
     If every non-key column is updated, the result is the source plus the target rows it does not touch, found by one
     join against the source's keys. A target that may hold a key several times (``target_keyed`` off) also keeps that
-    number of rows. Otherwise both sides meet in a full outer join, with markers telling a missing row from a NULL
-    value; rows with a NULL key match nothing and stay out of it. Several source rows for one stored row fail the merge at
+    number of rows. Otherwise stored rows are joined with the source, a marker telling a missing row from a NULL value, and rows with
+    new keys are added; rows with a NULL key match nothing and stay out of both. Several source rows for one stored row fail the merge at
     run time, unless ``check_source`` is off.
     """
     keys = list(keys)
@@ -92,25 +92,18 @@ def _clash_message(keys):
 
 
 def _tagged_upsert(target, source, keys, rest, changed) -> DataFrame:
+    """Stored rows look up what changes them, and rows with new keys are added. Neither join has to keep the rows of both sides, so a small
+    source is broadcast and a skewed key can be split."""
     shared = [c for c in rest if c in source.columns]
+    taken = [c for c in changed if c in shared]
     target, loose = reject_null_keys(target, keys)
-    source, new = reject_null_keys(source, keys)
-    absent = F.lit(None)
-    loose = loose.unionByName(new.select(*keys, *[(F.col(c) if c in shared else absent.cast(target.schema[c].dataType)).alias(c) for c in rest]))
-    old = target.select(*[F.col(c).alias(f"__t_{c}") for c in target.columns], F.lit(True).alias("__t"))
-    new = source.select(*[F.col(c).alias(f"__s_{c}") for c in keys + shared], F.lit(True).alias("__s"))
-    both = old.join(new, all_equal([f"__t_{k}" for k in keys], [f"__s_{k}" for k in keys]), "full_outer")
-    has_target, has_source = F.col("__t").isNotNull(), F.col("__s").isNotNull()
-
-    def value(c: str):
-        if c in keys:
-            return F.when(has_target, F.col(f"__t_{c}")).otherwise(F.col(f"__s_{c}"))
-        if c not in shared:
-            return F.col(f"__t_{c}")
-        takes_new = has_source if c in changed else has_source & ~has_target
-        return F.when(takes_new, F.col(f"__s_{c}")).otherwise(F.col(f"__t_{c}"))
-
-    return both.select(*[value(c).alias(c) for c in target.columns]).unionByName(loose)
+    source, unkeyed = reject_null_keys(source, keys)
+    incoming = source.select(*[F.col(c).alias(f"__s_{c}") for c in [*keys, *taken]], F.lit(True).alias("__s"))
+    both = target.join(incoming, all_equal(keys, [f"__s_{k}" for k in keys]), "left")
+    value = lambda c: F.when(F.col("__s").isNotNull(), F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c) if c in taken else F.col(c)
+    new = new_rows(target, source, keys).unionByName(unkeyed)
+    new = new.select(*keys, *[(F.col(c) if c in shared else F.lit(None).cast(target.schema[c].dataType)).alias(c) for c in rest])
+    return both.select(*map(value, target.columns)).unionByName(loose).unionByName(new)
 
 
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
