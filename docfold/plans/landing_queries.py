@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from docfold.functions.documents import field
 from docfold.operators.chains import chain_faults, page_chain
+from docfold.operators.drift import schema_drift
 from docfold.operators.reconcile import reconcile_stored
 from docfold.operators.snapshots import page_audit, page_faults
 from docfold.plans.table_queries import LOAD_TIME, query, table
 from docfold.session import shared_folder
 from docfold.sources.envelopes import read_split_envelopes
-from docfold.sources.landing import by_name_rejects, load_raw, read_envelopes
+from docfold.sources.landing import by_name_rejects, load_raw, load_records, read_envelopes
+from docfold.specs import Field, FlattenSpec
 
 #: What surrounds the records of the one envelope that the queries below read; its notes are there to mislead.
 HEAD = '{"ingested_at": "2024-03-01T12:30:45", "notes": ["data: [", {"data": [{}, "}"]}], "source": "events \\"feed\\" {", "total_records": '
@@ -190,3 +192,28 @@ def by_name_rejected(spark, sf_dir):
     bad = F.concat(F.lit("line "), n, F.when(n % 3 == 0, " {").otherwise(" [1]"))
     good = F.when(n % 2 == 0, F.concat(F.lit("["), n, F.lit("]"))).otherwise(F.to_json(F.struct("event_id", "props")))
     return by_name_rejects(events.select(F.when(n % 3 != 1, bad).otherwise(good).alias("value")))
+
+
+@query(
+    """
+    WITH held AS (
+      SELECT max(CASE WHEN json_type(props, '$.k') IN ('UBIGINT', 'BIGINT') THEN 'bigint' ELSE lower(json_type(props, '$.k')) END) AS k,
+             count(DISTINCT json_type(props, '$.k')) AS kinds
+      FROM events
+    )
+    SELECT '$.event' AS path, 'bigint' AS declared, 'bigint' AS observed, 'same' AS status
+    UNION ALL SELECT '$.gone', 'string', NULL, 'vanished'
+    UNION ALL SELECT '$.kind', NULL, 'string', 'new'
+    UNION ALL SELECT '$.props.k', 'string', k, CASE WHEN k = 'varchar' THEN 'same' ELSE 'changed' END FROM held
+    UNION ALL SELECT '$.value', 'double', CASE WHEN count(*) > 0 THEN 'number' END, 'same' FROM events
+    """
+)
+def event_schema_drift(spark, sf_dir):
+    """Paths of event documents that a declaration does not know, no longer finds, or expects to be of another type."""
+    events = table(spark, sf_dir, "events")
+    text = F.concat(F.lit('{"event": '), "event_id", F.lit(', "kind": '), F.to_json(F.array("event_type")).substr(F.lit(2), F.length(F.to_json(F.array("event_type"))) - 2), F.lit(', "value": '), "value", F.lit(', "props": '), "props", F.lit("}"))
+    raw = load_records(events.select(text.alias("value"), F.lit("events.json").alias("file_name")), id_path="$.event", load_ts=LOAD_TIME)
+    spec = FlattenSpec((Field("$.event", "event", "bigint"), Field("$.value", "value", "double"), Field("$.props.k", "k"), Field("$.gone", "gone")))
+    found = schema_drift(raw, spec)
+    # how wide the numbers are depends on the data
+    return found.withColumn("observed", F.when((F.col("path") == "$.value") & F.col("observed").rlike("^(decimal|double|bigint)"), "number").otherwise(F.col("observed")))
