@@ -4,16 +4,18 @@ A text's set holds its distinct runs of five words, hashed to 64 bits. Texts wit
 compared. Each of ``TREES`` trees branches classes by the least of their tokens under the tree's hash functions: classes
 that share four such tokens in order share a node. Classes already in one component need no comparison any more, so the size
 of a node is the number of its pairs across components. A node of at most ``SMALL`` pairs is compared exhaustively. In a larger
-one a class, the pivot, is compared with all, so a large group of near copies is done at once. What stays apart then is compared
-exhaustively too, if it has at most ``WIDE`` pairs: the classes outside the largest component with all, in blocks of ``BLOCK`` by
-``BLOCK``, so no task has a node as a whole. Still larger nodes branch on
-by a token of its own for each tree, level and child: into four children at the first of these levels, and into two at the others.
-At level ``LEVELS`` all nodes are compared in blocks, however large. Candidates need as many equal later tokens as all but one in ten million pairs at the threshold have, and are then
-confirmed on the full sets.
+one a class, the pivot, is compared with all (the least one, so that its links are a finished component), so a large group of near copies is done at once. What stays apart then is compared
+exhaustively too, if it has at most ``WIDE`` pairs: the classes outside the largest component with all, in blocks of about ``BLOCK`` by
+``BLOCK`` classes and ``BLOCK_SHINGLES`` shingles each way, so no task has a node as a whole. A block confirms on full sets and gives a forest: a pair
+that the labels or earlier links of the block already connect is not looked at, so the links of a block are fewer than its classes.
+Still larger nodes branch on by tokens of their own: the path to a node says which, into four children at the first of these levels, and
+into two at the others. At level ``LEVELS`` all nodes are compared in blocks, however large. Candidates need as many equal later tokens as all
+but one in ten million pairs at the threshold have, and are then confirmed on the full sets.
 
 Two classes at similarity s meet in one of the trees at the first level with probability 1 - (1 - s**4)**TREES, and miss each
-other once in 90,000 times for s = 0.75. If all the nodes they meet in are large at every level, they miss each other once in
-79,000 times at the deepest. Tokens below the first level are made from the texts of the classes in large nodes only.
+other once in 90,000 times for s = 0.75. If all the nodes they meet in are large at every level, they miss each other about once in
+80,000 times at the deepest (68 of 6,000,000 simulated as coded; ``tests/llm/test_near_links.py`` repeats a part). Tokens below the first level are made from
+the texts of the classes in large nodes only.
 
 Texts without words, null ones included, have no set and stay alone. Repeated rows are of one class. A null ``doc_id`` never
 represents others. Equal ids with different texts are different members of their classes.
@@ -36,13 +38,12 @@ from docfold.session import written
 SHINGLE = 5
 PERCENT = 75
 TREES, FIRST, POOL, LEVELS = 30, 4, 48, 4
-#: Children of a large node at each level below the first; every tree, level and child has a token of its own.
+#: Children of a large node at each level below the first; which of the ``DEEP`` tokens they use depends on the node.
 CHILDREN = (4, 2, 2)
-DEEP = TREES * sum(CHILDREN)
+DEEP = 240
 #: Pairs across components of a node that are listed in one row, and that are compared in blocks of ``BLOCK`` by ``BLOCK`` classes.
 SMALL, WIDE, BLOCK = 512, 1 << 22, 2048
-#: Parts of a block, each way, whose full sets are compared at once.
-PARTS = 4
+BLOCK_SHINGLES = 1 << 20
 #: Of ``POOL`` tokens, each equal with probability 0.75 or more, fewer are equal in one of ten million pairs.
 EQUAL_TOKENS = 19
 #: The same for ``DEEP`` tokens.
@@ -175,14 +176,17 @@ def _tokens(signed: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _pairs(nodes: DataFrame, small: int, wide: int | None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Candidate pairs ``a, b`` of the nodes (``node, v, n, label``), members of nodes of ``small`` to ``wide`` pairs, members of larger ones with their pivot."""
-    of_label = nodes.groupBy("node", "label").agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("v", "n")).alias("one"))
+    of_label = nodes.groupBy("node", "label").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), F.min(F.struct("v", "n")).alias("one"))
     of_node = of_label.groupBy("node").agg(
-        F.count(F.lit(1)).alias("labels"), F.sum("size").alias("size"), F.sum(F.col("size") * F.col("size")).alias("squares"), F.max(F.struct("size", "label", "one")).alias("pivot")
-    )
+        F.count(F.lit(1)).alias("labels"), F.sum("size").alias("size"), F.sum("weight").alias("weight"),
+        F.sum(F.col("size") * F.col("size")).alias("squares"), F.max_by(F.struct("size", "label", "one", "weight"), F.struct("size", -F.col("label"))).alias("pivot"),
+    )
     cross = ((F.col("size") * F.col("size") - F.col("squares")) / 2).alias("cross")
     pivot = F.struct(F.col("pivot.label").alias("label"), F.col("pivot.one.v").alias("v"), F.col("pivot.one.n").alias("n")).alias("pivot")
-    outside = (F.col("size") - F.col("pivot.size")).alias("outside")
-    joined = written(nodes.join(of_node.where("labels > 1").select("node", "size", outside, cross, pivot), "node"), "nodes")
+    parts = lambda size, weight: F.ceil(F.greatest(size / BLOCK, weight / BLOCK_SHINGLES)).cast("bigint")
+    every = parts(F.col("size"), F.col("weight")).alias("parts")
+    outside = parts(F.col("size") - F.col("pivot.size"), F.col("weight") - F.col("pivot.weight")).alias("outer_parts")
+    joined = written(nodes.join(of_node.where("labels > 1").select("node", every, outside, cross, pivot), "node"), "nodes")
     near = lambda x, y: (100 * F.least(x, y) >= PERCENT * F.greatest(x, y))
     # a node of two components or more has at most one member more than pairs across them
     members = joined.where(F.col("cross") <= small).groupBy("node").agg(F.collect_list(F.struct("v", "n", "label")).alias("m"))
@@ -191,60 +195,55 @@ def _pairs(nodes: DataFrame, small: int, wide: int | None) -> tuple[DataFrame, D
     blocks = joined.where((F.col("cross") > small) & (F.lit(wide is None) | (F.col("cross") <= (wide or 0))))
     large = joined.where((F.col("cross") > max(small, wide)) if wide is not None else F.lit(False))
     star = large.where((F.col("label") != F.col("pivot.label")) & near(F.col("n"), F.col("pivot.n"))).select(F.least("v", "pivot.v").alias("a"), F.greatest("v", "pivot.v").alias("b"))
-    blocks = blocks.select("node", "v", "n", "label", (F.col("label") != F.col("pivot.label")).alias("outer"), "size", "outside")
+    blocks = blocks.select("node", "v", "n", "label", (F.col("label") != F.col("pivot.label")).alias("outer"), "parts", "outer_parts")
     return written(each.unionAll(star).distinct(), "pairs"), blocks, large.select("node", "v", "n", F.col("pivot.v").alias("pivot"))
 
 
-def _compared(table: pa.Table) -> pa.Table:
-    """Pairs of one block's ``left`` rows with its other ones that differ in label and may be similar."""
-    left, right = (table.filter(pa.compute.equal(table["left"], side)) for side in (True, False))
+def _forest(table: pa.Table) -> pa.Table:
+    """Links ``a, b`` that connect what is similar enough in one block: ``left`` rows are compared with ``right`` ones of other labels."""
+    left, right = (table.filter(table[side]) for side in ("left", "right"))
     number = lambda rows, name: rows[name].to_numpy()
     sketch = lambda rows: np.frombuffer(b"".join(rows["deep"].to_pylist()), "<u2").reshape(-1, DEEP).astype(np.uint8).T.copy()
-    found: list = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    sets = lambda rows: [x.values.to_numpy() for x in rows["shingles"]]
+    links: list[tuple[int, int]] = []
     if len(left) and len(right):
-        v, n, label, outer, y = number(right, "v"), number(right, "n"), number(right, "label"), right["outer"].to_numpy(zero_copy_only=False), sketch(right)
-        own_v, own_n, own_label, x = number(left, "v"), number(left, "n"), number(left, "label"), sketch(left)
+        v, n, outer, y, theirs = number(right, "v"), number(right, "n"), right["outer"].to_numpy(zero_copy_only=False), sketch(right), sets(right)
+        own_v, own_n, x, ours = number(left, "v"), number(left, "n"), sketch(left), sets(left)
+        label, own_label = number(right, "label").copy(), number(left, "label").copy()
         for at in range(0, len(own_v), 128):
             part = slice(at, at + 128)
             a, size = own_v[part, None], own_n[part, None]
             fits = (own_label[part, None] != label) & (100 * np.minimum(size, n) >= PERCENT * np.maximum(size, n)) & (~outer | (v > a))
-            if fits.any():
-                equal = np.zeros(fits.shape, np.uint8)
-                for mine, other in zip(x[:, part], y):
-                    equal += mine[:, None] == other
-                i, j = np.nonzero(fits & (equal >= EQUAL_DEEP))
-                found.append((own_v[part][i], v[j]))
-    a, b = (np.concatenate(c) for c in zip(*found))
-    first = [pa.array(np.full(len(a), table[c][0].as_py(), np.int64)) for c in ("node", "i", "j")]
-    return pa.table([*first, pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["node", "i", "j", "a", "b"])
-
-
-def _similar(pairs: pa.Table, sets: pa.Table) -> pa.Table:
-    """Those pairs of one part of a block whose full sets are similar enough."""
-    own = {v: s.values.to_numpy() for v, s in zip(sets["v"].to_pylist(), sets["shingles"])}
-    found = []
-    for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
-        common = len(np.intersect1d(own[a], own[b], assume_unique=True))
-        if 100 * common >= PERCENT * (len(own[a]) + len(own[b]) - common):
-            found.append((a, b))
-    return pa.table([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+            if not fits.any():
+                continue
+            equal = np.zeros(fits.shape, np.uint8)
+            for mine, other in zip(x[:, part], y):
+                equal += mine[:, None] == other
+            for i in range(at, at + len(fits)):
+                near = np.flatnonzero(fits[i - at] & (equal[i - at] >= EQUAL_DEEP))
+                near = near[np.argsort(-equal[i - at][near].astype(np.int64), kind="stable")]
+                while len(near := near[label[near] != own_label[i]]):  # what a link has joined need not be compared any more
+                    j, near = near[0], near[1:]
+                    common = len(np.intersect1d(ours[i], theirs[j], assume_unique=True))
+                    if 100 * common >= PERCENT * (own_n[i] + n[j] - common):
+                        links.append((int(own_v[i]), int(v[j])))
+                        gone, stays = label[j], own_label[i]
+                        label[label == gone], own_label[own_label == gone] = stays, stays
+    return pa.table([pa.array([f(p) for p in links], pa.int64()) for f in (min, max)], ["a", "b"])
 
 
 def _block_links(blocks: DataFrame, deep: DataFrame, classes: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
     """Links ``a, b`` across the components of each node: the classes outside its largest one with all, block by block."""
-    count = lambda c: F.ceil(F.col(c) / BLOCK).cast("bigint")
-    every = lambda c: F.explode(F.sequence(F.lit(0).cast("bigint"), count(c) - 1))
-    rows = blocks.join(deep, "v")
-    cells = ["v", "n", "label", "outer", "deep"]
-    left = rows.where("outer").select("node", F.pmod(F.xxhash64("v"), count("outside")).alias("i"), every("size").alias("j"), F.lit(True).alias("left"), *cells)
-    right = rows.select("node", every("outside").alias("i"), F.pmod(F.xxhash64("v"), count("size")).alias("j"), F.lit(False).alias("left"), *cells)
-    found = left.unionAll(right).groupBy("node", "i", "j").applyInArrow(_compared, "node bigint, i bigint, j bigint, a bigint, b bigint")
-    part = lambda c: F.pmod(F.xxhash64(c, F.lit("part")), F.lit(PARTS))
-    once = found.groupBy("a", "b").agg(F.min(F.struct("node", "i", "j")).alias("at"))
-    pairs = written(once.select(F.xxhash64("at.node", "at.i", "at.j", part("a"), part("b")).alias("cell"), "a", "b"), "block_pairs")
-    members = pairs.select(F.col("cell").alias("of"), F.explode(F.array("a", "b")).alias("v")).distinct()
-    sets = written(_sets(docs, classes.join(members.select("v").distinct(), "v").select("v", "doc_id"), repeated), "sets")
-    return pairs.groupBy("cell").cogroup(members.join(sets, "v").groupBy("of")).applyInArrow(_similar, "a bigint, b bigint")
+    sets = written(_sets(docs, classes.join(blocks.select("v").distinct(), "v").select("v", "doc_id"), repeated), "sets")
+    dealt = lambda parts, seed: F.pmod(F.xxhash64("v", F.lit(seed)), F.col(parts))
+    every = lambda parts: F.sequence(F.lit(0).cast("bigint"), F.col(parts) - 1)
+    rows = blocks.withColumn("row", dealt("outer_parts", 1)).withColumn("column", dealt("parts", 2))
+    cell = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    across = F.when(F.col("outer"), F.transform(every("parts"), lambda j: cell(F.col("row"), j))).otherwise(F.array().cast("array<struct<i: bigint, j: bigint>>"))
+    down = F.transform(every("outer_parts"), lambda i: cell(i, F.col("column")))
+    rows = rows.withColumn("cell", F.explode(F.array_union(across, down)))
+    rows = rows.select("node", "cell.i", "cell.j", "v", "n", "label", "outer", (F.col("outer") & (F.col("cell.i") == F.col("row"))).alias("left"), (F.col("cell.j") == F.col("column")).alias("right"))
+    return rows.join(deep, "v").join(sets, "v").groupBy("node", "i", "j").applyInArrow(_forest, "a bigint, b bigint")
 
 
 def linked_classes(docs: DataFrame, signed: DataFrame, small: int = SMALL, levels: int = LEVELS, wide: int = WIDE) -> DataFrame:
@@ -253,16 +252,16 @@ def linked_classes(docs: DataFrame, signed: DataFrame, small: int = SMALL, level
     repeated = bool(signed.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").take(1))
     nodes = signed.where("v is not null and doc_id is not null").select("v", "n", F.explode("nodes").alias("node")).distinct()
     nodes = nodes.select("node", "v", "n", F.col("v").alias("label"))
-    links, labels, deep, level = None, None, None, 0
+    labels, deep, level = None, None, 0
     while True:
         # first only with a pivot, so that most pairs of large nodes lie within components; at last whatever is left
         pairs, blocks, rest = _pairs(nodes, small, small if level == 0 else wide if level < levels else None)
         found = _confirmed(pairs, classes, signed, docs, repeated)
         if deep is not None and blocks.take(1):
             found = found.unionAll(_block_links(blocks, deep, classes, docs, repeated))
-        found = written(found, "links")
-        links = found if links is None else written(links.unionAll(found).distinct(), "links")
-        labels = written(components(links), "labels")
+        if labels is not None:  # the components so far are links as well
+            found = found.unionAll(labels.select(F.col("v").alias("a"), F.col("label").alias("b")))
+        labels = written(components(found), "labels")
         if not rest.take(1):
             return labels
         if deep is None:
@@ -276,13 +275,12 @@ def linked_classes(docs: DataFrame, signed: DataFrame, small: int = SMALL, level
 
 
 def _branched(rest: DataFrame, deep: DataFrame, level: int) -> DataFrame:
-    """The members of large nodes in the nodes of the next level."""
-    tree = F.pmod("node", F.lit(32))
+    """The members of large nodes in the nodes of the next level; a node's name holds its path, and says which tokens branch it."""
 
     def child(step: int):
-        place = tree * sum(CHILDREN) + sum(CHILDREN[: level - 1]) + step
+        place = F.pmod(F.xxhash64("node", F.lit(level), F.lit(step)), F.lit(DEEP))
         token = F.substring(F.col("deep"), (place * 2 + 1).cast("int"), F.lit(2))
-        return F.shiftleft(F.shiftright(F.xxhash64("node", token, F.lit(step)), 5), 5) + tree
+        return F.xxhash64("node", token, F.lit(step))
 
     children = F.array(*map(child, range(CHILDREN[level - 1])))
     return rest.join(deep, "v").select("v", "n", F.explode(children).alias("node"))

@@ -2,11 +2,14 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from docfold.llm import near_duplicates
 from docfold.llm.near_duplicates import LEVELS, _branched, _deep, linked_classes, signatures
 from docfold.session import written
+from tests.llm.test_near_duplicates import brute_groups
 
 
 def planted(seed, classes, words=220, far=8, near=6):
@@ -51,6 +54,55 @@ def test_links_survive_all_levels(spark):
     assert met == 300
 
 
+def test_recall_at_the_deepest_level_as_coded():
+    """Every token is equal with probability 0.75; each node picks its children's tokens by its path."""
+    rng, pairs, missed = np.random.default_rng(5), 100_000, 0
+    for _ in range(5):
+        equal = rng.random((pairs, near_duplicates.DEEP)) < 0.75
+        met = np.zeros(pairs, bool)
+        for _ in range(near_duplicates.TREES):
+            nodes = np.flatnonzero((rng.random(pairs) < 0.75**near_duplicates.FIRST) & ~met)
+            for children in near_duplicates.CHILDREN:
+                nodes = np.repeat(nodes, children)
+                nodes = nodes[equal[nodes, rng.integers(0, near_duplicates.DEEP, len(nodes))]]
+            met[nodes] = True
+        missed += int((~met).sum())
+    assert missed <= 20  # once in 80,000 would be 6 of these 500,000
+
+
+def test_links_of_a_block_grow_with_its_classes():
+    """A block gives fewer links than it has classes, whatever the size of its groups, and they connect what is similar."""
+    for size in (50, 400):
+        rng, base = random.Random(size), [f"w{i}" for i in range(120)]
+        rows = []
+        for i in range(size):
+            places = rng.sample(range(2, 118, 5), 2)  # two are similar if they share a place
+            rows.append((i, " ".join(f"z{i}_{k}" if k in places else w for k, w in enumerate(base))))
+        sets = [near_duplicates.Shingles().of(t) for _, t in rows]
+        deep = [near_duplicates._mixed(near_duplicates.minwise(x, near_duplicates._DEEP_SEEDS, near_duplicates._DEEP_FACTORS)).astype("<u2").tobytes() for x in sets]
+        same = [True] * size
+        columns = {"v": list(range(size)), "n": [len(x) for x in sets], "label": list(range(size)), "outer": same, "left": same, "right": same, "deep": deep}
+        block = pa.table(columns | {"shingles": pa.array([x.view(np.int64) for x in sets])})
+        links = near_duplicates._forest(block).to_pylist()
+        parent = list(range(size))
+
+        def root(i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        for link in links:
+            assert root(link["a"]) != root(link["b"])  # a forest
+            parent[root(link["b"])] = root(link["a"])
+        groups: dict[int, set] = {}
+        for i in range(size):
+            groups.setdefault(root(i), set()).add(i)
+        want: dict[int, set] = {}
+        for i, _, component, _ in brute_groups(rows):
+            want.setdefault(component, set()).add(i)
+        assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+
+
 def test_one_large_component_beside_outsiders(spark, monkeypatch):
     """Each outsider of a large node is linked by one late comparison; the number of rounds does not grow with the component."""
     rng = random.Random(3)
