@@ -6,7 +6,8 @@ plus the loss of the unlabelled as negative less p times the loss of the positiv
 are kept from falling below zero. Labels of negatives are never used: the unlabelled rows are labelled rows with the label laid
 aside, for which the prior is the share of positives.
 
-The classifier is fitted on at most ``sample_rows`` rows of each kind, drawn by hash; the prior is counted over all rows. A word
+The classifier is fitted on at most ``sample_rows`` rows of each kind, the first by a hash of their id, so the model does not depend on the order or
+partitioning of the labels; the prior is counted over all rows. A word
 place gets a weight if it occurs in ``MIN_ROWS`` sampled rows and its share among the positives exceeds that among the
 unlabelled by ``MIN_SHARE`` and by ``MIN_SPREADS`` times what chance would spread. Null and empty texts are scored by the bias alone. Rows
 with a null label count as unlabelled text that nobody looked at and are not drawn. Without positives every score is 0.
@@ -23,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docfold.llm.common import doc_columns, slices
 
@@ -117,8 +119,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         return fit([], [], 0.0)
 
     def drawn(rows: DataFrame, count: int, seed: int) -> DataFrame:
-        share = min(1.0, sample_rows / count)
-        return rows.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20))).limit(sample_rows)
+        """The first ``sample_rows`` rows by a hash of their id, whatever their order; only somewhat more than those are sorted."""
+        share, place = min(1.0, 1.5 * sample_rows / count + 0.001), F.xxhash64("doc_id", F.lit(seed))
+        return rows.where(F.pmod(place, F.lit(1 << 20)) <= int(share * (1 << 20))).orderBy(F.pmod(place, F.lit(1 << 20)), place, "doc_id").limit(sample_rows)
 
     chosen = drawn(known.where("positive"), both["positives"], 1).select("doc_id", F.lit(True).alias("positive"))
     chosen = chosen.unionAll(drawn(known, both["n"], 2).select("doc_id", F.lit(False).alias("positive")))
@@ -139,12 +142,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     return fit(kept[True], kept[False], both["positives"] / both["n"])
 
 
-def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
-    """``docs`` with the double column ``toxicity``; a column of that name is replaced."""
+def score(docs: DataFrame, classifier: Classifier, name: str = "toxicity") -> DataFrame:
+    """``docs`` with the double column ``name``; a column of that name is replaced."""
     model = docs.sparkSession.sparkContext.broadcast(classifier)  # 2**BITS weights, whatever the data
-    name = "toxicity"
     docs = docs.drop(name)
-    kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"{name} double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,7 +153,7 @@ def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
                 scores = model.value.scores(part.column("text").to_pylist())
                 yield pa.record_batch([*part.columns, pa.array(scores)], names=[*part.schema.names, name])
 
-    return docs.mapInArrow(run, kinds)
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def fold(df: DataFrame, folds: int):

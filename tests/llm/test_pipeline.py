@@ -63,7 +63,7 @@ EDGES = [(1, None), (2, ""), (3, " \n "), (4, "x " * 9000), (None, "no id"), (5,
 
 @pytest.mark.parametrize("rows", [EDGES, []])
 def test_stages_on_edge_rows(spark, rows):
-    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), 1.0, "k") for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, toxicity_ double, k1 string")
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), 1.0, 2, ("x",), "k") for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, toxicity double, Toxicity_ int, about struct<`a b`: string>, k1 string")
     columns = docs.dtypes
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, FOLDER).cache()

@@ -198,3 +198,16 @@ def test_edits_stay_near(spark):
     found = QUERIES["op7_imatch_fingerprints"](spark, f"{SMALL[:-5]}0.01").collect()
     assert len(found) == 1000
     assert np.mean([r["near_edited"] > r["near_next"] for r in found]) > 0.9
+
+
+def test_classifier_does_not_depend_on_the_order_of_labels(spark):
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choices(["bad", "worse"] if i % 4 == 0 else ["good", "fine", "bad"], k=6))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = [(i, int(i % 4 == 0)) for i, _ in rows]
+    models = []
+    for seed in range(3):
+        random.Random(seed).shuffle(labels)
+        given = spark.createDataFrame(labels, "doc_id bigint, toxic int").repartition(seed + 1)
+        models.append(toxicity.train(docs, given, sample_rows=100))
+    assert len({m.bias for m in models}) == 1 and all((m.weights == models[0].weights).all() for m in models)
