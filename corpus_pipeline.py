@@ -23,30 +23,54 @@ def _with_text(docs: DataFrame, columns: list[str], old: str, new: str) -> DataF
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below one half, by a classifier of the labelled rows outside the held-out fold."""
+    """Documents that score below one half, by a classifier of the labelled rows outside the held-out fold.
+
+    Null and empty texts are scored by the bias alone and stay where toxic rows are the fewer. Repeated rows, ties and null ids are scored each by
+    their text. Without positive labels, or without documents, nothing is dropped.
+    """
     labels = table(spark, sf_dir, "labels")
     classifier = toxicity.train(docs, labels.where(toxicity.fold(labels, 5) != 0))
-    scored = toxicity.score(docs, classifier)
-    return scored.where("toxicity < 0.5").drop("toxicity")
+    name, taken = "toxicity", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return toxicity.score(docs, classifier, name).where(F.col(name) < 0.5).drop(name)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later copies of line runs; a document that was nothing else goes."""
+    """Texts without later copies of line runs; a document that was nothing else goes.
+
+    The first place by ``doc_id`` keeps a run; of one id, that with the lesser hash of its text. Null ids come first. Null and empty texts
+    stay as they are, rows equal in id and text get the same result, and an empty table stays empty.
+    """
     return _with_text(line_dedup.delete_repeated_lines(docs), docs.columns, "doc.text", "text")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the least by ``doc_id``, then by hash of the text.
+
+    Null texts, texts without words and rows without ``doc_id`` are no duplicates and stay. Of rows equal in id and text one
+    stays. An empty table stays empty.
+    """
     return near_duplicates.one_of_each_group(docs)
 
 
 def cut_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages of benchmark items; a document that was nothing else goes."""
+    """Texts without passages of benchmark items; a document that was nothing else goes.
+
+    Null and empty texts stay as they are; repeated rows, ties and null ids are cut each by their text. An empty benchmark cuts
+    nothing, and an empty table stays empty.
+    """
     twice = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), F.col("text"))
     cut = decontaminate.remove_overlaps(twice, table(spark, sf_dir, "benchmark"))
     return _with_text(cut, docs.columns, "doc.text", "text")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences along the curve, with checksums of their ids.
+
+    A null or empty text is its end id alone; repeated rows and null ids are packed each. Equal keys go by ``doc_id``, then
+    by ids. An empty table gives no piece. Columns beyond ``doc_id`` and ``text`` are left out.
+    """
     return packing.with_checksums(packing.pack(docs))
 
 
