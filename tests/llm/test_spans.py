@@ -69,6 +69,37 @@ def test_secrets_against_brute_force(spark):
         assert r["n_copied"] + r["n_owned"] == len(every)
 
 
+def test_forks_of_one_owner_and_copies_of_many(spark):
+    real, dull = "password=q8Zt77pLmm2xK", "password=xxxxxxxxxxxx"
+    rows = [(i, real, f"one/fork{i}") for i in range(9)] + [(20 + i, "token: example-1234", f"owner{i}/repo") for i in range(4)] + [(30, dull, "two/a"), (31, dull + " " + real, "one/fork0")]
+    found = {r.doc_id: (r.n_copied, r.n_owned, r.n_live, r.max_repositories, r.max_owners) for r in secrets.scan(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
+    assert found == {i: (0, 1, 1, 9, 1) for i in range(9)} | {20 + i: (1, 0, 0, 4, 4) for i in range(4)} | {30: (0, 1, 0, 2, 2), 31: (0, 2, 1, 9, 2)}
+
+
+def test_ownership_over_a_whole_table(spark):
+    """Repositories and owners of every value, counted in Python from the places that the query reports."""
+    folder = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "source").collect()]
+    found = {r["doc_id"]: r for r in QUERIES["op1_secret_ownership"](spark, folder).collect()}
+    values, holders = {}, {}
+    for doc_id, text, source in rows:
+        spans = [x.split(":") for x in found[doc_id]["spans"].split(",")] if found[doc_id]["spans"] else []
+        own = [(text or "")[int(s) : int(e)] for _, s, e in spans]
+        own = [re.sub("^(?i:password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?", "", v) if k == "assign" else v for (k, _, _), v in zip(spans, own)]
+        values[doc_id] = own
+        for v in own:
+            holders.setdefault(v, set()).add(source)
+    some = 0
+    for doc_id, own in values.items():
+        owners = [len({None if s is None else s.split("/")[0] for s in holders[v]}) for v in own]
+        owned = [v for v, n in zip(own, owners) if n < secrets.WIDE]
+        want = (len(own) - len(owned), len(owned), sum(len(set(v)) >= secrets.LIVE_CHARACTERS for v in owned), max((len(holders[v]) for v in own), default=0), max(owners, default=0))
+        r = found[doc_id]
+        assert (r["n_copied"], r["n_owned"], r["n_live"], r["max_repositories"], r["max_owners"]) == want
+        some += bool(own)
+    assert some > 5
+
+
 def test_secrets_by_ownership(spark):
     wide, own = "password=example1234", "password=q8Zt77pLmm2"
     rows = [(i, wide, f"owner{i % 5}/repo{i}") for i in range(50)] + [(60 + i, own, f"one/repo{i}") for i in range(6)] + [(70, own + " " + wide, None), (70, own + " " + wide, None), (None, "x", "y"), (71, None, "z")]
