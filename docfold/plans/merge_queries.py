@@ -131,6 +131,26 @@ def upsert_newest_snapshot(spark, sf_dir):
     return scan(spark, database, spec.name)
 
 
+@query(
+    MERGE_SQL
+    + """
+    SELECT 'replace' AS step, count(*) AS n FROM stored
+    UNION ALL SELECT 'upsert', count(*) FROM (SELECT o_orderkey FROM stored UNION SELECT o_orderkey FROM incoming)
+    UNION ALL SELECT 'insert', (SELECT count(*) FROM orders) - (SELECT count(*) FROM (SELECT o_orderkey FROM stored UNION SELECT o_orderkey FROM incoming))
+    """
+)
+def written_counts(spark, sf_dir):
+    """Rows written by each step, as the writes observed them."""
+    spec = TableSpec("orders", ORDER_COLUMNS, ("o_orderkey",), buckets=8)
+    database, orders = own_database(spark), table(spark, sf_dir, "orders")
+    replaced = replace_table(spark, database, spec, stored_orders(spark, sf_dir))
+    merged = upsert_table(spark, database, spec, incoming_orders(spark, sf_dir))
+    plain = TableSpec("plain", ORDER_COLUMNS, ("o_orderkey",))
+    replace_table(spark, database, plain, scan(spark, database, "orders"))
+    added = insert_only_table(spark, database, plain, orders.select(*spec.column_names))
+    return spark.createDataFrame([("replace", replaced), ("upsert", merged), ("insert", added)], "step string, n bigint")
+
+
 # Checks
 
 

@@ -15,7 +15,7 @@ from docfold.operators.chains import chain_faults, page_chain
 from docfold.operators.checks import Check, evaluate, gate, stored_totals, summarise, violations
 from docfold.operators.flatten import bridge, flatten
 from docfold.operators.merge import reject_null_keys
-from docfold.operators.reconcile import reconcile_stored, record_counts
+from docfold.operators.reconcile import reconcile_stored
 from docfold.operators.snapshots import latest_snapshot, page_faults, union_pages
 from docfold.plans.series_model import (
     BRIDGE,
@@ -64,7 +64,7 @@ class SeriesRun:
     With ``pages``, page files from ``<pages>/<entity>/`` are first landed as record lines, which load in parallel.
     ``rejects`` holds bridge rows without a complete key after a transform. ``keep_versions`` limits the stored versions
     of each table: the current one, and those that running readers may still use. Enveloped files of more than ``split_above`` bytes are
-    read by several tasks each. ``results`` and ``checks`` are those of the
+    read by several tasks each. ``written`` has the rows last written into each table. ``results`` and ``checks`` are those of the
     last quality step, also if it failed.
     """
 
@@ -76,6 +76,7 @@ class SeriesRun:
     keep_versions: int = 2
     split_above: int = 128 << 20
     metrics: list[tuple[str, int, float]] = field(default_factory=list)
+    written: dict[str, int] = field(default_factory=dict)
     rejects: DataFrame | None = None
     results: DataFrame | None = None
     checks: dict[str, Check] = field(default_factory=dict)
@@ -112,7 +113,7 @@ class SeriesRun:
                 large = self._is_large(newest)
                 records = read_split_envelopes(self.spark, newest)[1] if large else read_envelopes(self.spark, newest)
                 rows = load_raw(records, id_type="int")
-            replace_table(self.spark, self.raw_database, spec, rows)
+            self.written[entity] = replace_table(self.spark, self.raw_database, spec, rows)
             drop_old_versions(self.spark, self.raw_database, spec, self.keep_versions)
 
     def verify_raw(self) -> DataFrame:
@@ -145,12 +146,11 @@ class SeriesRun:
         """Upserts both dimensions, then adds new pairs to the bridge."""
         raw = {name: scan(self.spark, self.raw_database, name) for name in RAW_TABLES}
         now = self.spark.range(1).select(F.localtimestamp()).first()[0]
-        upsert_table(
-            self.spark, self.model_database, DIM_CHARACTERS, flatten(raw["characters"], CHARACTER_FIELDS, load_ts=now)
-        )
-        upsert_table(self.spark, self.model_database, DIM_EPISODES, flatten(raw["episodes"], EPISODE_FIELDS, load_ts=now))
+        for spec, entity, fields in ((DIM_CHARACTERS, "characters", CHARACTER_FIELDS), (DIM_EPISODES, "episodes", EPISODE_FIELDS)):
+            rows = flatten(raw[entity], fields, load_ts=now)
+            self.written[spec.name] = upsert_table(self.spark, self.model_database, spec, rows)
         pairs, self.rejects = reject_null_keys(bridge(raw["characters"], CHARACTER_EPISODES, load_ts=now), BRIDGE.key)
-        insert_only_table(self.spark, self.model_database, BRIDGE, pairs)
+        self.written[BRIDGE.name] = insert_only_table(self.spark, self.model_database, BRIDGE, pairs)
         for spec in MODEL_TABLES:
             drop_old_versions(self.spark, self.model_database, spec, self.keep_versions)
 
@@ -194,7 +194,7 @@ class SeriesRun:
         return results
 
     def run_metrics(self) -> DataFrame:
-        """One row per step: rows it landed or left in its tables, or checks it ran; seconds, rows per second."""
+        """One row per step: rows it landed or wrote, or checks it ran; seconds, rows per second."""
         schema = "step string, n_rows bigint, seconds double"
         speed = F.when(F.col("seconds") > 0, F.round(F.col("n_rows") / F.col("seconds"), 2))
         return self.spark.createDataFrame(self.metrics, schema).withColumn("rows_per_second", speed)
@@ -212,15 +212,11 @@ class SeriesRun:
         }
 
     def _rows(self, step: str) -> int:
-        """Row counts come from Parquet footers, not from a second pass over the data."""
-        tables = {"load-raw": (self.raw_database, RAW_TABLES), "transform": (self.model_database, [t.name for t in MODEL_TABLES])}
+        """Rows that a step wrote, as its writes observed them, or landed, as the manifests say; no data is read again."""
+        tables = {"load-raw": RAW_TABLES, "transform": [t.name for t in MODEL_TABLES]}
         if step == "quality":
             return self.results.count() if self.results is not None else 0
         if step == "ingest":
             newest = [self._declared(entity).select("total_records") for entity in RAW_TABLES]
             return reduce(DataFrame.unionAll, newest).agg(F.sum("total_records")).first()[0]
-        if step not in tables:
-            return 0
-        database, names = tables[step]
-        counts = record_counts({n: scan(self.spark, database, n) for n in names})
-        return counts.agg(F.sum("n")).first()[0]
+        return sum(self.written[name] for name in tables.get(step, ()))

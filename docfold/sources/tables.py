@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from docfold.operators.keys import FIXED_WIDTH, all_equal, renamed_keys
@@ -114,8 +114,8 @@ class ConcurrentWriteError(Exception):
 
 def replace_table(
     spark: SparkSession, database: str, spec: TableSpec, df: DataFrame, colocated: bool = False, base: int | None = None
-) -> None:
-    """Stores ``df`` as the new version. Columns it lacks get their default.
+) -> int:
+    """Stores ``df`` as the new version; returns its number of rows. Columns it lacks get their default.
 
     Required columns and text widths are enforced while writing; a required column without default must be there.
     ``colocated`` says that ``df`` is already partitioned into the table's buckets. ``base`` is the version that ``df``
@@ -128,20 +128,26 @@ def replace_table(
         rows = rows.repartition(spec.buckets, *spec.key)
     if spec.ranges:
         rows = rows.repartitionByRange(spec.ranges, *spec.key)
-    _write(spark, database, spec, rows, base, [])
+    return _write(spark, database, spec, rows, base, [])
 
 
-def _write(spark: SparkSession, database: str, spec: TableSpec, rows: DataFrame, base: int, kept: Sequence[Part]) -> None:
-    """Stores rows in a data table of their own and publishes it, beside the ``kept`` parts, as the version after ``base``."""
+def _write(spark: SparkSession, database: str, spec: TableSpec, rows: DataFrame, base: int, kept: Sequence[Part]) -> int:
+    """Stores rows in a data table of their own and publishes it, beside the ``kept`` parts, as the version after ``base``.
+
+    Returns how many rows were written, as observed by the write itself: behind the last shuffle, where each task counts once.
+    """
     rows = _by_slice(rows, spec) if spec.slices else rows
     data = _declare(spark, database, spec, base + 1)
     try:
         names = ", ".join(f"`{c}`" for c in [*spec.column_names, SLICE] if c in rows.columns)
+        counted = Observation()
+        rows = rows.observe(counted, F.count(F.lit(1)).alias("n"))
         spark.sql(f"INSERT INTO `{database}`.`{data}` BY NAME SELECT {names} FROM {{rows}}", rows=rows)
         _publish(spark, database, spec, base + 1, [*kept, Part(data)])
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{data}`")
         raise
+    return counted.get["n"]
 
 
 def _base(spark: SparkSession, database: str, spec: TableSpec) -> int:
@@ -172,8 +178,8 @@ def upsert_table(
     source: DataFrame,
     update_cols: Sequence[str] | None = None,
     newest_by: str | None = None,
-) -> None:
-    """Keyed upsert into a stored table.
+) -> int:
+    """Keyed upsert into a stored table; returns how many rows were written, those of rewritten files and slices included.
 
     With buckets, only the source is shuffled: the stored side is read bucket by bucket. With slices, only the touched
     ones are read and rewritten. An empty table just takes the source. Columns that the source lacks keep their value in
@@ -207,13 +213,13 @@ def upsert_table(
         return replace_table(spark, database, spec, merge(stored, source), base=base)
     old, kept, n = touched
     rows = enforce_required(merge(old.select(*spec.column_names), source), spec)
-    _write(spark, database, spec, rows.repartitionByRange(n + 1, *spec.key) if spec.ranges else rows, base, kept)
+    return _write(spark, database, spec, rows.repartitionByRange(n + 1, *spec.key) if spec.ranges else rows, base, kept)
 
 
-def insert_only_table(spark: SparkSession, database: str, spec: TableSpec, source: DataFrame) -> None:
+def insert_only_table(spark: SparkSession, database: str, spec: TableSpec, source: DataFrame) -> int:
     """Adds the source rows with a new key to a stored table. Columns the source lacks get their default.
 
-    Without buckets nothing is rewritten: the new rows are a part of their own.
+    Without buckets nothing is rewritten: the new rows are a part of their own. Returns how many rows were written.
     """
     source = completed(source, spec)
     base = versions(spark, database, spec.name)[-1]
@@ -231,7 +237,7 @@ def insert_only_table(spark: SparkSession, database: str, spec: TableSpec, sourc
     else:
         stored = stored.where(_bounds(source, spec))
     new = new_rows(stored.select(*spec.column_names), source, spec.key).select(*spec.column_names)
-    _write(spark, database, spec, enforce_required(new, spec), base, parts)
+    return _write(spark, database, spec, enforce_required(new, spec), base, parts)
 
 
 def _slices_with(source: DataFrame, spec: TableSpec) -> list[int]:
