@@ -45,10 +45,14 @@ from docfold.session import written
 RUN_LINKS = 1 << 21
 RADICES = 128
 FAN = 256
+#: Chunks that are aligned at once.
+LEARNED_CHUNKS = 50_000
 #: Documents of a run, and chunks and characters of chunks that a worker remembers.
 RUN_DOCS = 1 << 17
-KNOWN_CHUNKS, KNOWN_CHARS = 150_000, 1 << 23
+KNOWN_CHUNKS, KNOWN_CHARS = 200_000, 1 << 23
 _CUT = re.compile(r"(?<=\S) (?!\Z)")
+#: Letters up to U+023F, then ASCII punctuation but the apostrophe: two parts of the byte-level pattern at most.
+_SIMPLE = re.compile("([A-Za-z\xc0-\u023f]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
 def piece_path() -> str:
@@ -80,11 +84,16 @@ class Aligner:
         self.a = Tokenizer.from_file(byte_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=model_path)
-        names = {c: b for b, c in byte_names().items()}
+        named = {c: b for b, c in byte_names().items()}
         size = self.a.get_vocab_size()
-        self.a_bytes = [bytes(names.get(c, 63) for c in self.a.id_to_token(i) or "") for i in range(size)]
+        self.a_bytes = [bytes(named.get(c, 63) for c in self.a.id_to_token(i) or "") for i in range(size)]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        numbers = range(max(len(self.a_bytes), len(self.b_bytes)))
+        self.listed, self.barred, self.ended = (np.array([f"{i}{mark}" for i in numbers], object) for mark in ",|;")
+        self.names = byte_names()
+        self.tail = functools.lru_cache(10_000)(self._tail)
         said = json.loads(self.a.to_str())
         split = said.get("pre_tokenizer") or {}
         # no token of either may reach over the cut
@@ -110,23 +119,64 @@ class Aligner:
         self._learn()
         return found
 
+    def _encode_a(self, chunks: list[str]) -> list[list[int]]:
+        """Ids of each chunk with a blank before. A word is one part of the pattern and merged without a search for parts."""
+        found: list = [None] * len(chunks)
+        others = []
+        merge, names, tail = self.a.model.tokenize, self.names, self.tail
+        for i, chunk in enumerate(chunks):
+            match = _SIMPLE.fullmatch(chunk) if self.by_chunks else None
+            if match and match[1].isalpha():
+                found[i] = [t.id for t in merge((" " + match[1]).encode().decode("latin-1").translate(names))] + tail(match[2])
+            else:
+                others.append(i)
+        for i, e in zip(others, self.a.encode_batch([" " + chunks[i] for i in others], add_special_tokens=False)):
+            found[i] = e.ids
+        return found
+
+    def _tail(self, punctuation: str) -> list[int]:
+        return self.a.encode(punctuation, add_special_tokens=False).ids if punctuation else []
+
     def _learn(self) -> None:
         fresh, self.numbers.fresh = self.numbers.fresh, []
-        if not fresh:
-            return
-        self.chars += sum(map(len, fresh))
-        ours = self.a.encode_batch([" " + c for c in fresh], add_special_tokens=False)
-        theirs = self.b.encode(fresh, num_threads=1)
-        links, sizes = [], []
-        for chunk, a, b in zip(fresh, (e.ids for e in ours), theirs):
-            text, pairs = aligned(a, b, self.a_bytes, self.b_bytes, (" " + chunk).encode("utf-8", "surrogatepass"))
-            self.groups.append(text)
-            links.append(pairs)
-            sizes.append((len(a), len(b), text.count(";") + 1 if text else 0, len(pairs)))
-        sizes = np.array(sizes, np.int64)
-        self.offset = np.append(self.offset, len(self.pool) + np.cumsum(sizes[:, 3]) - sizes[:, 3])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.pool = np.append(self.pool, np.fromiter(itertools.chain.from_iterable(links), np.uint64, int(sizes[:, 3].sum())))
+        for at in range(0, len(fresh), LEARNED_CHUNKS):
+            part = fresh[at : at + LEARNED_CHUNKS]
+            self.chars += sum(map(len, part))
+            groups, links, sizes = self._align(part, self._encode_a(part), self.b.encode(part, num_threads=1))
+            self.groups += groups
+            self.offset = np.append(self.offset, len(self.pool) + np.cumsum(sizes[:, 3]) - sizes[:, 3])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.pool = np.append(self.pool, links)
+
+    def _align(self, chunks: list[str], ours: list[list[int]], theirs: list[list[int]]) -> tuple[list[str | None], np.ndarray, np.ndarray]:
+        """Groups of each chunk as text, None where bytes differ; all links, chunk by chunk; numbers of tokens, groups and links.
+
+        Two tokens overlap if they hold the byte before an end of either, so there is one link for each place at which one of them ends.
+        """
+        raw = [(" " + c).encode("utf-8", "surrogatepass") for c in chunks]
+        for k, whole in enumerate(raw):
+            if not (b"".join(map(self.a_bytes.__getitem__, ours[k])) == whole == b"".join(map(self.b_bytes.__getitem__, theirs[k]))):
+                ours[k], theirs[k], raw[k] = [], [], b""
+        sizes = np.zeros((len(chunks), 4), np.int64)
+        sizes[:, 0], sizes[:, 1] = list(map(len, ours)), list(map(len, theirs))
+        a, b = (np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(n)) for ids, n in zip((ours, theirs), sizes.sum(0)[:2]))
+        ends_a, ends_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        ends = ends[np.append(ends[1:] != ends[:-1], True)] if len(ends) else ends
+        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        borders = np.cumsum([len(r) for r in raw])
+        for column, places in ((3, ends), (2, both)):
+            sizes[:, column] = np.diff(np.searchsorted(places, borders, "right"), prepend=0)
+        links = b[at_b].astype(np.uint64) << np.uint64(32) | a[at_a].astype(np.uint64)
+        # tokens group by group, ours first; behind the last of a group a bar or a semicolon, behind others a comma
+        group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        last_a, last_b = ends_a == both[group_a], ends_b == both[group_b]
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        words = np.concatenate([np.where(last_a, self.barred[a], self.listed[a]), np.where(last_b, self.ended[b], self.listed[b])])[order].tolist()
+        stops = np.cumsum(sizes[:, 0] + sizes[:, 1]).tolist()
+        groups = ["".join(words[i:j])[:-1] if j > i else None for i, j in zip([0, *stops], stops)]
+        return groups, links, sizes
 
     def links(self, chunks: np.ndarray) -> np.ndarray:
         """The links of chunks, in order."""
@@ -141,30 +191,6 @@ def aligner(byte_path: str, model_path: str) -> Aligner:
     return Aligner(byte_path, model_path)
 
 
-def aligned(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes], whole: bytes) -> tuple[str | None, list[int]]:
-    """Groups as ``a1,a2|b1;a3|b2,b3``, and the pairs of overlapping tokens as ``b << 32 | a``; None if bytes differ."""
-    if b"".join(map(a_bytes.__getitem__, a)) != whole or b"".join(map(b_bytes.__getitem__, b)) != whole:
-        return None, []
-    groups, links = [], []
-    i = j = begin_i = begin_j = 0
-    end_a, end_b = (len(a_bytes[a[0]]), len(b_bytes[b[0]])) if a else (0, 0)
-    while i < len(a):
-        links.append(b[j] << 32 | a[i])
-        if end_a == end_b:
-            groups.append(f"{','.join(map(str, a[begin_i : i + 1]))}|{','.join(map(str, b[begin_j : j + 1]))}")
-            i, j = i + 1, j + 1
-            begin_i, begin_j = i, j
-            if i < len(a):
-                end_a, end_b = end_a + len(a_bytes[a[i]]), end_b + len(b_bytes[b[j]])
-        elif end_a < end_b:
-            i += 1
-            end_a += len(a_bytes[a[i]])
-        else:
-            j += 1
-            end_b += len(b_bytes[b[j]])
-    return ";".join(groups), links
-
-
 def _squeezed(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed block."""
     head = np.array([len(arrays), *(len(x) for x in arrays)], "<i8").tobytes()
