@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docfold.operators import checks as C
 from docfold.operators.bitmaps import orphan_buckets, orphan_rows
 from docfold.operators.differences import differing_keys
+from docfold.plans.maintained_checks import MaintainedUnique
 from docfold.plans.table_queries import (
     MERGE_SQL,
     ORACLES,
@@ -223,3 +224,24 @@ def differing_line_keys(spark, sf_dir):
     lines.createOrReplaceTempView("lineitem")
     here = lines.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
     return differing_keys(here, spark.sql(OTHER_LINES).select(*[F.col(c).cast(here.schema[c].dataType) for c in here.columns]), "l_orderkey")
+
+
+@query(
+    MERGE_SQL
+    + """
+    , merged AS (
+      SELECT * FROM incoming UNION ALL SELECT * FROM stored t WHERE NOT EXISTS (SELECT 1 FROM incoming s WHERE s.o_orderkey = t.o_orderkey)
+    )
+    SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS repeated
+    FROM (SELECT count(*) AS n FROM merged GROUP BY o_orderstatus, o_orderpriority)
+    """
+)
+def maintained_unique(spark, sf_dir):
+    """Rows that share status and priority, kept up to date by a merge."""
+    spec = TableSpec("orders", ORDER_COLUMNS, ("o_orderkey",), ranges=RANGES)
+    database = own_database(spark)
+    replace_table(spark, database, spec, stored_orders(spark, sf_dir))
+    kept = MaintainedUnique(spark, database, spec, ["o_orderstatus", "o_orderpriority"], ranges=1)
+    kept.rebuild()
+    kept.upsert(incoming_orders(spark, sf_dir))
+    return kept.measures()
