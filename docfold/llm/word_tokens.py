@@ -9,11 +9,16 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 
 import numpy as np
 from tokenizers import Tokenizer
 
-KNOWN_WORDS = 300_000
+from docfold.llm.tokens import _byte_names
+
+KNOWN_WORDS = 500_000
+#: Letters up to U+023F, then ASCII punctuation but the apostrophe: two parts of the tokenizer's pattern at most.
+_SIMPLE = re.compile(rb"((?:[A-Za-z]|[\xc3-\xc8][\x80-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def default_path() -> str:
@@ -50,6 +55,8 @@ class WordEncoder:
         self.dtype = np.dtype(np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
         self.added = [t["content"].encode() for t in said.get("added_tokens") or []]
         self.by_words = self._drops_white_space(said)
+        self.names = _byte_names()
+        self.tail = functools.lru_cache(10_000)(self._tail)
         self._reset()
 
     @staticmethod
@@ -87,11 +94,26 @@ class WordEncoder:
         ids = self.pool[np.repeat(self.offset[words] - ends[:-1], count) + np.arange(ends[-1])]
         return ids, np.diff(ends[np.append(0, np.cumsum(sizes))])
 
+    def _tail(self, punctuation: bytes) -> list[int]:
+        return self.tokenizer.encode(punctuation.decode(), add_special_tokens=False).ids if punctuation else []
+
     def _learn(self) -> None:
         fresh, self.numbers.fresh = self.numbers.fresh, []
         if not fresh:
             return
-        found = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8", "surrogatepass") for w in fresh], add_special_tokens=False)]
+        found: list = [None] * len(fresh)
+        others = []
+        merge, names, tail = self.tokenizer.model.tokenize, self.names, self.tail
+        for i, word in enumerate(fresh):
+            match = _SIMPLE.fullmatch(word)
+            letters = match and match[1].decode()
+            if letters and letters.isalpha() and "\u0130" not in letters:
+                # composed already, so lower case is all that the normalizer does; a part is merged by itself
+                found[i] = [t.id for t in merge(letters.lower().encode().decode("latin-1").translate(names))] + tail(match[2])
+            else:
+                others.append(i)
+        for i, e in zip(others, self.tokenizer.encode_batch([fresh[i].decode("utf-8", "surrogatepass") for i in others], add_special_tokens=False)):
+            found[i] = e.ids
         count = np.array([len(x) for x in found], np.int64)
         self.offset = np.append(self.offset, len(self.pool) + np.cumsum(count) - count)
         self.count = np.append(self.count, count)

@@ -22,6 +22,7 @@ def test_ids_equal_the_library(spark):
     rng = random.Random(5)
     letters = "aB'sé́ \t\n\x0b\x0c\r\x1c\x85\xa0 가Σς1٣-.,中🙂ſİ"
     texts = ["".join(rng.choices(letters, k=rng.randint(0, 60))) for _ in range(3000)] + ["", "a <|endoftext|> b", "it's we're"]
+    texts += ["".join(rng.choices("abcéüßÑçÀñ.,$%&'9²ªøĲŉǅɐ", k=rng.randint(1, 6))) for _ in range(3000)]
     texts += [r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("text").collect() if r.text]
     for part in (texts[:1500], texts[1500:3003], texts[3003:], texts):
         ids, counts = encoder.encode(part)
