@@ -80,7 +80,16 @@ def test_reference_without_number_is_rejected_and_the_rest_kept(spark, tmp_path)
     assert [(r.character_id, r.episode_id) for r in run.rejects.collect()] == [(1, None)]
 
 
-@pytest.mark.parametrize("fault", ["first", "middle", "last", "repeated", "error page", "early end"])
+def test_large_envelopes_are_read_by_splits(spark, tmp_path):
+    write_envelope(tmp_path, "characters", CHARACTERS, "1", 1000)
+    write_envelope(tmp_path, "episodes", EPISODES, "1", 1000)
+    run = SeriesRun(spark, str(tmp_path), raw_database="raw8", model_database="model8", split_above=0)
+    assert {r.status for r in run.run().collect()} == {"PASS"}
+    assert rows(scan(spark, "model8", "bridge_character_episodes").select("character_id", "episode_id")) == EXPECTED_PAIRS
+    assert run.written == {"characters": 5, "episodes": 4, "dim_characters": 5, "dim_episodes": 4, "bridge_character_episodes": len(EXPECTED_PAIRS)}
+
+
+@pytest.mark.parametrize("fault", ["first", "middle", "last", "repeated", "error page", "early end", "skipping link", "link back", "no number"])
 def test_incomplete_pages_fail_the_ingest(spark, tmp_path, fault):
     for entity, records in (("characters", CHARACTERS), ("episodes", EPISODES)):
         write_pages(tmp_path / "pages", entity, records, size=1)
@@ -90,6 +99,9 @@ def test_incomplete_pages_fail_the_ingest(spark, tmp_path, fault):
         os.remove(page({"first": 1, "middle": 3, "last": 5}[fault]))
     elif fault == "repeated":
         (folder / "again_page_2.json").write_text(page(2).read_text())
+    elif fault in ("skipping link", "link back", "no number"):
+        follow = {"skipping link": "https://h/api?page=4", "link back": "https://h/api?page=1", "no number": "https://h/api?page=next"}[fault]
+        page(2).write_text(json.dumps({"info": {"next": follow}, "results": [CHARACTERS[1]]}))
     elif fault == "error page":
         page(2).write_text(json.dumps({"error": "busy", "info": {"next": "x"}}))
     else:
