@@ -8,6 +8,7 @@ put together by numpy. The result equals encoding whole texts.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
 
@@ -73,7 +74,7 @@ class WordEncoder:
         )
 
     def _reset(self) -> None:
-        self.numbers = _Numbers()
+        self.numbers, self.stems = _Numbers(), {}
         self.count, self.offset = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool = np.zeros(0, self.dtype)
 
@@ -87,11 +88,13 @@ class WordEncoder:
             self._reset()
         split = [t.split() for t in raw]
         sizes = np.fromiter(map(len, split), np.int64, len(split))
-        words = np.fromiter((self.numbers[w] for own in split for w in own), np.int64, int(sizes.sum()))
+        words = np.fromiter(map(self.numbers.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(sizes.sum()))
         self._learn()
         count = self.count[words]
         ends = np.append(0, np.cumsum(count))
-        ids = self.pool[np.repeat(self.offset[words] - ends[:-1], count) + np.arange(ends[-1])]
+        places = np.repeat(self.offset[words] - ends[:-1], count)
+        places += np.arange(ends[-1])
+        ids = self.pool[places]
         return ids, np.diff(ends[np.append(0, np.cumsum(sizes))])
 
     def _tail(self, punctuation: bytes) -> list[int]:
@@ -103,15 +106,23 @@ class WordEncoder:
             return
         found: list = [None] * len(fresh)
         others = []
-        merge, names, tail = self.tokenizer.model.tokenize, self.names, self.tail
+        merge, names, tail, stems = self.tokenizer.model.tokenize, self.names, self.tail, self.stems
         for i, word in enumerate(fresh):
-            match = _SIMPLE.fullmatch(word)
-            letters = match and match[1].decode()
-            if letters and letters.isalpha() and "\u0130" not in letters:
-                # composed already, so lower case is all that the normalizer does; a part is merged by itself
-                found[i] = [t.id for t in merge(letters.lower().encode().decode("latin-1").translate(names))] + tail(match[2])
+            # what is composed already is only lower-cased by the normalizer, and a part is merged by itself
+            letters = word.rstrip(b".,;:!?")
+            if letters.isalpha():
+                lower, text, rest = letters.lower(), None, word[len(letters) :]
             else:
-                others.append(i)
+                match = _SIMPLE.fullmatch(word)
+                text = match and match[1].decode()
+                if not (text and text.isalpha() and "\u0130" not in text):
+                    others.append(i)
+                    continue
+                lower, rest = text.lower().encode(), match[2]
+            ids = stems.get(lower)
+            if ids is None:
+                ids = stems[lower] = [t.id for t in merge(lower.decode() if text is None else lower.decode("latin-1").translate(names))]
+            found[i] = ids + tail(rest) if rest else ids
         for i, e in zip(others, self.tokenizer.encode_batch([fresh[i].decode("utf-8", "surrogatepass") for i in others], add_special_tokens=False)):
             found[i] = e.ids
         count = np.array([len(x) for x in found], np.int64)
