@@ -1,9 +1,10 @@
 """One large enveloped file read by many tasks.
 
 ``{"ingested_at": ..., "data": [{...}, {...}]}`` is one JSON value, so a reader of whole values gives one file to one task. Here the
-text is cut at every ``}`` by Spark's splittable text reader, and each piece says how it changes the nesting: how many quotes it
+text is cut at every ``}`` by Spark's splittable text reader. A first scan says how each split changes the nesting: how many quotes it
 holds, and by how much it deepens the nesting if it starts outside a string and if it starts inside one. These changes compose, so
-they are summed along each split, then along the few splits of a file; after that the state at every piece is known. Pieces between two
+they are summed along the few splits of a file; a second scan starts each split from its sum and so knows the state at every piece. Both scans
+go along a split in the task that reads it, so text is neither sorted nor shuffled. Pieces between two
 closings down to depth two or less form a segment, and a segment that starts with a comma and an object is one element of an array.
 
 Only the other segments are looked at in detail, and there are few: the one in which ``data`` opens, the one in which it closes, and
@@ -15,6 +16,10 @@ fit, fails; so does one with two ``data`` arrays. The name of the array must be
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,65 +29,152 @@ from docfold.session import written
 _FILE, _SPLIT = "file_path", "split"
 
 
+#: The characters that change the nesting or the quoting, by number; 0 is any other.
+_QUOTE, _OPENS, _SHUTS = 1, 2, 3
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[list(b'"')], _KINDS[list(b"{[")], _KINDS[list(b"}]")] = _QUOTE, _OPENS, _SHUTS
+
+
 def _escapes_masked(text: Column) -> Column:
     """``text`` with two plain characters for each escape, so that every quote left begins or ends a string."""
     return F.regexp_replace(text, r"(?s)\\.", "__")
 
 
-def _deeper(outside: Column) -> Column:
-    """By how much text outside strings deepens the nesting."""
-    without = lambda marks: F.length(outside) - F.length(F.translate(outside, marks, ""))
-    return without("{[") - without("}]")
-
-
-def _pieces(spark: SparkSession, path: str, pattern: str | None) -> DataFrame:
-    """Text up to each ``}`` and its changes: ``quotes`` modulo 2, ``d0`` deeper if it starts outside a string, ``d1`` if inside."""
+def _pieces(spark: SparkSession, path: str, pattern: str | None, larger_than: int = -1) -> DataFrame:
+    """Text up to each ``}``, in the order of each split."""
     reader = spark.read.option("lineSep", "}")
     reader = reader.option("pathGlobFilter", pattern) if pattern else reader
-    rows = reader.text(path).select(
+    rows = reader.text(path)
+    rows = rows if larger_than < 0 else rows.where(F.col("_metadata.file_size") > larger_than)
+    return rows.select(
         F.col("_metadata.file_path").alias(_FILE),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_modification_time").alias("modified_at"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_block_start").alias(_SPLIT),
-        F.monotonically_increasing_id().alias("n"),  # rises along a split
         F.concat("value", F.lit("}")).alias("text"),
     )
-    rows = rows.withColumn("parts", F.split(_escapes_masked(F.col("text")), '"'))
-    every_other = lambda k: F.array_join(F.filter("parts", lambda _, i: i % 2 == k), " ")
-    return rows.select(
-        *[c for c in rows.columns if c != "parts"],
-        ((F.size("parts") - 1) % 2).alias("quotes"),
-        _deeper(every_other(0)).alias("d0"),
-        _deeper(every_other(1)).alias("d1"),
-    )
+
+
+def _changes(data: np.ndarray, inside: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where whole pieces of text change the nesting or the quoting, whether a string is open behind each such place, and by how much the text
+    outside strings has deepened the nesting by then. ``inside`` is 1 if the text starts in a string."""
+    slashes = np.flatnonzero(data == ord("\\"))
+    if len(slashes):  # what follows an odd number of them is escaped; a piece ends with }, so they end before it does
+        breaks = np.diff(slashes) != 1
+        begin, end = slashes[np.r_[True, breaks]], slashes[np.r_[breaks, True]]
+        data = data.copy()
+        data[end[(end - begin) % 2 == 0] + 1] = ord("_")
+    kinds = _KINDS[data]
+    at = np.flatnonzero(kinds)
+    kinds = kinds[at]
+    quotes = kinds == _QUOTE
+    open_string = (np.cumsum(quotes) + inside) % 2
+    step = (kinds == _OPENS).astype(np.int64) - (kinds == _SHUTS)
+    return at, open_string, np.cumsum(np.where(open_string == 1, 0, step))
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Parts of a batch that belong to one split each, with their text as bytes and the ends of the pieces in it."""
+    number = batch.column("number").to_numpy()
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(number)]
+    for start, stop in zip(cuts, cuts[1:]):
+        if start == stop:
+            continue
+        text = batch.column("text").slice(start, stop - start)
+        wide = pa.types.is_large_string(text.type)
+        _, offsets, data = text.buffers()
+        ends = np.frombuffer(offsets, np.int64 if wide else np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64)
+        yield batch.slice(start, stop - start), np.frombuffer(data, np.uint8)[ends[0] : ends[-1]], ends[1:] - ends[0]
+
+
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What each split changes: ``quotes`` modulo 2, ``depth0`` deeper if it starts outside a string, ``depth1`` if inside."""
+    sums: dict[int, list[int]] = {}
+    for batch in batches:
+        for part, data, _ in _runs(batch):
+            found = sums.setdefault(part.column("number")[0].as_py(), [0, 0, 0])
+            quotes = found[0]
+            for start in (0, 1):
+                _, open_string, depth = _changes(data, (quotes + start) % 2)
+                found[1 + start] += int(depth[-1])
+                if start == 0:
+                    found[0] = int(open_string[-1])
+    yield pa.RecordBatch.from_pydict({"number": [*sums], **{c: [x[i] for x in sums.values()] for i, c in enumerate(("quotes", "depth0", "depth1"))}}, _TOTALS)
+
+
+def _between_closings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Text of each split cut behind the pieces that close down to depth two or less. What is open at the end of a batch goes on in the next."""
+    number = None
+    for batch in batches:
+        for part, data, ends in _runs(batch):
+            if part.column("number")[0].as_py() != number:
+                if number is not None:
+                    yield _rest(number, n, held, from_depth)
+                number, n, held = part.column("number")[0].as_py(), 0, []
+                inside, depth = part.column("starts")[0].as_py(), part.column("base")[0].as_py()
+                from_depth = depth
+            at, open_string, deeper = _changes(data, inside)
+            last = np.searchsorted(at, ends) - 1  # a piece that ends with an escaped } may have no change of its own
+            strings = np.where(last < 0, inside, open_string[last])
+            depths = depth + np.where(last < 0, 0, deeper[last])
+            inside, depth = int(strings[-1]), int(depths[-1])
+            closing = np.flatnonzero((strings == 0) & (depths <= 2))
+            cuts = ends[closing]
+            begun = 0
+            if len(cuts) and held:  # the first goes together with what was open
+                begun = int(cuts[0])
+                held.append(data[:begun].tobytes())
+                text = pa.array([b"".join(held)], pa.binary()).cast(pa.string())
+                yield _found(number, n, text, [from_depth], [True], [n == 0])
+                n, held, from_depth, cuts, closing = n + 1, [], int(depths[closing[0]]), cuts[1:], closing[1:]
+            if len(cuts):
+                offsets = np.r_[begun, cuts].astype(np.int32)
+                text = pa.StringArray.from_buffers(len(cuts), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data)))
+                edge = np.zeros(len(cuts), bool)
+                edge[0] = n == 0
+                yield _found(number, n, text, np.r_[from_depth, depths[closing[:-1]]], np.ones(len(cuts), bool), edge)
+                n, from_depth, begun = n + len(cuts), int(depths[closing[-1]]), int(cuts[-1])
+            if begun < len(data):
+                held.append(data[begun:].tobytes())
+    if number is not None:
+        yield _rest(number, n, held, from_depth)
+
+
+def _found(number: int, n: int, text: pa.Array, from_depth, closes, edge) -> pa.RecordBatch:
+    size = len(text)
+    columns = [np.full(size, number, np.int64), np.arange(n, n + size, dtype=np.int64), text, np.asarray(from_depth, np.int64), closes, edge]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) if not isinstance(c, pa.Array) else c for c, f in zip(columns, _FRAGMENTS)], schema=_FRAGMENTS)
+
+
+def _rest(number: int, n: int, held: list[bytes], from_depth: int) -> pa.RecordBatch:
+    """What is open at the end of a split, if anything."""
+    text = pa.array([b"".join(held)] if held else [], pa.binary()).cast(pa.string())
+    return _found(number, n, text, [from_depth][: len(text)], [False][: len(text)], [True][: len(text)])
+
+
+_TOTALS = pa.schema([("number", pa.int64()), ("quotes", pa.int64()), ("depth0", pa.int64()), ("depth1", pa.int64())])
+_FRAGMENTS = pa.schema([("number", pa.int64()), ("n", pa.int64()), ("text", pa.string()), ("from_depth", pa.int64()), ("closes", pa.bool_()), ("edge", pa.bool_())])
 
 
 def _fragments(pieces: DataFrame) -> DataFrame:
     """Texts between closings within a split: ``file_path, split, n`` (place), ``text``, ``from_depth``, ``closes``, and ``edge``: whether
     it may go on in another split."""
-    split = [_FILE, _SPLIT]
-    along = Window.partitionBy(*split).orderBy("n")
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
-    rows = pieces.withColumn("inside", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)  # if the split starts outside a string
-    for start in (0, 1):
-        rows = rows.withColumn(f"depth{start}", F.sum(F.when(F.col("inside") == start, F.col("d0")).otherwise(F.col("d1"))).over(along))
-    # one row for each split from here on
-    totals = rows.groupBy(*split).agg(F.sum("quotes").alias("quotes"), F.max_by("depth0", "n").alias("depth0"), F.max_by("depth1", "n").alias("depth1"))
+    about = [_FILE, "file_name", "modified_at", "file_size", _SPLIT]
+    # one row for each split, which is as long as the list of them that the driver holds
+    splits = pieces.select(*about).distinct().withColumn("number", F.row_number().over(Window.orderBy(_FILE, _SPLIT)).cast("bigint"))
+    splits = written(splits, "splits")
+    numbers = F.broadcast(splits.select(_FILE, _SPLIT, "number"))
+    totals = pieces.join(numbers, [_FILE, _SPLIT]).select("number", "text").mapInArrow(_totals, "number bigint, quotes bigint, depth0 bigint, depth1 bigint")
+    totals = splits.join(totals, "number")
     earlier = Window.partitionBy(_FILE).orderBy(_SPLIT).rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn("starts", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
     gained = F.when(F.col("starts") == 1, F.col("depth1")).otherwise(F.col("depth0"))
-    totals = totals.select(*split, "starts", F.coalesce(F.sum(gained).over(earlier), F.lit(0)).alias("base"))
+    totals = totals.select(_FILE, _SPLIT, "number", "starts", F.coalesce(F.sum(gained).over(earlier), F.lit(0)).alias("base"))
 
-    rows = rows.join(totals, split)
-    in_string = (F.col("inside") + F.col("starts")) % 2
-    depth = F.col("base") + F.when(F.col("starts") == 1, F.col("depth1")).otherwise(F.col("depth0"))
-    rows = rows.withColumn("depth", depth).withColumn("from_depth", F.col("depth") - F.when(in_string == 1, F.col("d1")).otherwise(F.col("d0")))
-    rows = rows.withColumn("closes", ((in_string + F.col("quotes")) % 2 == 0) & (F.col("depth") <= 2))
-    closed = F.col("closes").cast("int")
-    rows = rows.withColumn("ended", F.coalesce(F.sum(closed).over(before), F.lit(0))).withColumn("last", F.sum(closed).over(Window.partitionBy(*split)))
-    rows = rows.withColumn("edge", (F.col("ended") == 0) | (F.col("ended") == F.col("last")))
-    return _together(rows, _SPLIT, "ended", "edge")
+    rows = pieces.join(F.broadcast(totals), [_FILE, _SPLIT]).select("number", "starts", "base", "text")
+    rows = rows.mapInArrow(_between_closings, "number bigint, n bigint, text string, from_depth bigint, closes boolean, edge boolean")
+    return rows.join(F.broadcast(splits), "number").select(*about, "n", "text", F.octet_length("text").alias("bytes"), "from_depth", "closes", "edge")
 
 
 def _together(rows: DataFrame, *key: str) -> DataFrame:
@@ -98,7 +190,7 @@ def _together(rows: DataFrame, *key: str) -> DataFrame:
 def segments(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """Segments of enveloped files: place (``file_path, split, n``), ``text``, and the depth before it.
 
-    The text is shuffled once, by split, and written; only fragments at the ends of splits are shuffled again.
+    The text is written once where it is read; only fragments at the ends of splits are shuffled.
     """
     fragments = written(_fragments(_pieces(spark, path, pattern)), "fragments")
     edges = fragments.where("edge")  # two for each split at most
@@ -109,7 +201,7 @@ def segments(spark: SparkSession, path: str, pattern: str | None = None) -> Data
 
 
 #: One plain element of whatever array is open.
-_PLAIN = r"from_depth = 2 AND text RLIKE r'^\s*,\s*\{'"
+_PLAIN = r"from_depth = 2 AND text RLIKE r'^[ \t\r\n]*,[ \t\r\n]*\{'"
 
 
 def _marks(rows: DataFrame, array: str) -> DataFrame:
@@ -156,7 +248,8 @@ def _records(every: DataFrame, odd: DataFrame, frames: DataFrame, array: str) ->
     faulty = frames.where("arrays != 1").join(F.broadcast(named), _FILE).where(F.raise_error(why).cast("boolean"))
     faulty = faulty.select("file_name", F.lit(None).cast("variant").alias("value"))
     plain = every.where(_PLAIN).withColumn("place", F.struct(_SPLIT, "n")).join(F.broadcast(frames), _FILE)
-    plain = plain.where((place > opens) & (place < F.col("closing"))).select("file_name", F.lit(False).alias("first"), "text")
+    plain = plain.where((place > opens) & (place < F.col("closing"))).select("file_name", F.substring("text", F.locate("{", "text"), F.length("text")).alias("text"))
+    plain = plain.select("file_name", F.explode(F.array(F.parse_json("text"))).alias("value"))
     odd = odd.join(F.broadcast(frames), _FILE).where((place >= opens) & (place <= F.col("closing")))
     begin = F.when(place == F.col("opens"), F.col("enter")).otherwise(0)
     end = F.when(place != F.col("closing"), F.length("text")).when(place == F.col("opens"), F.col("leave")).otherwise(F.col("close"))
@@ -165,7 +258,7 @@ def _records(every: DataFrame, odd: DataFrame, frames: DataFrame, array: str) ->
     body = F.concat(F.when(F.col("first"), "[").otherwise("[0"), F.col("text"), F.lit("]"))
     held = F.variant_get(F.parse_json(body), "$", "array<variant>")
     held = F.when(F.col("first"), held).otherwise(F.slice(held, F.lit(2), F.greatest(F.size(held) - 1, F.lit(0))))
-    return plain.unionByName(odd).select("file_name", F.explode(held).alias("value")).unionByName(faulty)
+    return plain.unionByName(odd.select("file_name", F.explode(held).alias("value"))).unionByName(faulty)
 
 
 def _headers(every: DataFrame, odd: DataFrame, frames: DataFrame, array: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 import json
 import random
+import re
 
 import pytest
 
-from docfold.sources.envelopes import read_split_envelopes
+from docfold.sources.envelopes import _fragments, _pieces, read_split_envelopes
 from docfold.sources.landing import load_raw, read_envelopes
 from tests.test_landing import BROKEN
 
@@ -81,3 +82,31 @@ def test_malformed_envelopes_fail(spark, tmp_path, text):
         heads, records = read_split_envelopes(spark, str(tmp_path))
         heads.collect()
         records.collect()
+
+
+def test_text_stays_with_the_task_that_reads_it(spark, tmp_path):
+    (tmp_path / "one.json").write_text('{"data": [{"id": 1}, {"id": 2}]}')
+    found = _fragments(_pieces(spark, str(tmp_path), None))
+    query = found._jdf.queryExecution()
+    plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(query, "formatted")
+    moved = re.findall(r"\(\d+\) (?:Exchange|Sort|Window)\nInput[^:]*: (.*)", plan)
+    assert moved and not any(re.search(r"\btext#", columns) for columns in moved)
+
+
+def test_several_files_in_one_task_and_pieces_in_several_batches(spark, tmp_path):
+    rng = random.Random(9)
+    want = []
+    for i in range(30):
+        data = [record(rng) if i % 2 else {"id": k, "v": record(rng)} for k in range(rng.choice([0, 1, 2, 9]))]
+        (tmp_path / f"f{i}.json").write_text(envelope(rng, data), encoding="utf-8")
+        want += [(f"f{i}.json", json.dumps(v, sort_keys=True)) for v in data]
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "3")
+    try:
+        heads, records = read_split_envelopes(spark, str(tmp_path))
+        found = [(r.file_name, json.dumps(json.loads(r.v), sort_keys=True)) for r in records.selectExpr("file_name", "to_json(value) v").collect()]
+    finally:
+        spark.conf.set(size, before)
+    assert sorted(found) == sorted(want)
+    assert heads.count() == 30
