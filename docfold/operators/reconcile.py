@@ -19,9 +19,12 @@ def record_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def reconcile_envelopes(envelopes: DataFrame) -> DataFrame:
-    """Per file: records announced by the envelope against records it holds."""
+    """Per file: records announced by the envelope against records it holds. Rows with the same ``file_path``, if there is one, are parts of a file."""
     declared = F.col("total_records").cast("bigint")
     held = F.greatest(F.coalesce(F.size("data"), F.lit(0)), F.lit(0)).cast("bigint")
+    if "file_path" in envelopes.columns:
+        envelopes = envelopes.groupBy("file_path", "file_name").agg(F.max(declared).alias("total_records"), F.sum(held).alias("held"))
+        declared, held = F.col("total_records"), F.col("held")
     agrees = status_of(held, F.coalesce(declared, F.lit(-1)), FAIL)
     return envelopes.select(
         F.col("file_name").alias("source_file"), declared.alias("declared"), held.alias("loaded"), agrees.alias("status")

@@ -23,15 +23,20 @@ HEAD = '{"ingested_at": "2024-03-01T12:30:45", "notes": ["data: [", {"data": [{}
 
 
 def events_envelope(spark: SparkSession, sf_dir: str) -> str:
-    """Folder with one enveloped file of all events. One file has one writer, so this part does not spread over tasks."""
-    events = table(spark, sf_dir, "events").withColumn("note", F.concat(F.lit('"}, {\\'), F.col("props"), F.lit("]}")))
-    record = F.to_json(F.struct(F.col("event_id").alias("id"), "event_type", "value", "props", "note", F.struct(F.array(F.struct("user_id")).alias("data")).alias("more")))
-    head = events.agg(F.concat(F.lit(HEAD), F.count(F.lit(1)).cast("string"), F.lit(', "data": [')).alias("value")).select(F.lit(0).alias("part"), F.lit(-1).cast("bigint").alias("id"), "value")
+    """Folder with one enveloped file of all events. One file has one writer, so this part does not spread over tasks; it is given the columns,
+    which are smaller than the records, and makes the text itself."""
+    events = table(spark, sf_dir, "events")
+    given = ["event_type", "value", "props", "user_id"]
+    head = events.agg(F.concat(F.lit(HEAD), F.count(F.lit(1)).cast("string"), F.lit(', "data": [')).alias("text")).select(F.lit(0).alias("part"), F.lit(-1).cast("bigint").alias("id"), "text")
     first = events.agg(F.min("event_id")).scalar()
-    lines = events.select(F.lit(1).alias("part"), F.col("event_id").alias("id"), F.concat(F.when(F.col("event_id") == first, "").otherwise(","), record).alias("value"))
-    tail = spark.range(1).select(F.lit(2).alias("part"), "id", F.lit("]}").alias("value"))
+    lines = events.select(F.lit(1).alias("part"), F.col("event_id").alias("id"), *given)
+    tail = spark.range(1).select(F.lit(2).alias("part"), "id", F.lit("]}").alias("text"))
+    rows = lines.unionByName(head, True).unionByName(tail, True).repartition(1).sortWithinPartitions("part", "id")
+    note = F.concat(F.lit('"}, {\\'), F.col("props"), F.lit("]}"))
+    record = F.to_json(F.struct("id", "event_type", "value", "props", note.alias("note"), F.struct(F.array(F.struct("user_id")).alias("data")).alias("more")))
+    line = F.concat(F.when(F.col("id") == first, "").otherwise(","), record)
     path = f"{shared_folder(spark)}/docfold/{uuid.uuid4().hex}/events"
-    head.unionByName(lines).unionByName(tail).repartition(1).sortWithinPartitions("part", "id").select("value").write.text(path)
+    rows.select(F.when(F.col("part") == 1, line).otherwise(F.col("text")).alias("value")).write.text(path)
     return path
 
 
@@ -57,7 +62,7 @@ def envelope_split_load(spark, sf_dir):
 
 @query(EVENT_ROWS)
 def envelope_whole_load(spark, sf_dir):
-    """The same envelope read as one value."""
+    """The same envelope read as one value, or in parts if it is too large for that."""
     return _event_rows(load_raw(read_envelopes(spark, events_envelope(spark, sf_dir)), load_ts=LOAD_TIME))
 
 

@@ -187,12 +187,12 @@ def _together(rows: DataFrame, *key: str) -> DataFrame:
     return out.select(*about, *kept, first["at"].alias(_SPLIT), first["n"].alias("n"), text.alias("text"), F.octet_length(text).alias("bytes"), first["from_depth"].alias("from_depth"), last["closes"].alias("closes"))
 
 
-def segments(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+def segments(spark: SparkSession, path: str, pattern: str | None = None, larger_than: int = -1) -> DataFrame:
     """Segments of enveloped files: place (``file_path, split, n``), ``text``, and the depth before it.
 
     The text is written once where it is read; only fragments at the ends of splits are shuffled.
     """
-    fragments = written(_fragments(_pieces(spark, path, pattern)), "fragments")
+    fragments = written(_fragments(_pieces(spark, path, pattern, larger_than)), "fragments")
     edges = fragments.where("edge")  # two for each split at most
     order = Window.partitionBy(_FILE).orderBy(_SPLIT, "n").rowsBetween(Window.unboundedPreceding, -1)
     edges = edges.withColumn("number", F.coalesce(F.sum(F.col("closes").cast("int")).over(order), F.lit(0)))
@@ -241,24 +241,24 @@ def _frames(odd: DataFrame) -> DataFrame:
 
 
 def _records(every: DataFrame, odd: DataFrame, frames: DataFrame, array: str) -> DataFrame:
-    """``file_name, value`` of the elements of each file's array."""
+    """``file_path, file_name, value`` of the elements of each file's array."""
     place, opens = F.col("place"), F.col("opens")
     why = F.concat("file_name", F.when(F.col("arrays") == 0, F.lit(f" holds no {array}")).otherwise(F.lit(f" holds {array} more than once")))
     named = odd.select(_FILE, "file_name").distinct()
     faulty = frames.where("arrays != 1").join(F.broadcast(named), _FILE).where(F.raise_error(why).cast("boolean"))
-    faulty = faulty.select("file_name", F.lit(None).cast("variant").alias("value"))
+    faulty = faulty.select(_FILE, "file_name", F.lit(None).cast("variant").alias("value"))
     plain = every.where(_PLAIN).withColumn("place", F.struct(_SPLIT, "n")).join(F.broadcast(frames), _FILE)
-    plain = plain.where((place > opens) & (place < F.col("closing"))).select("file_name", F.substring("text", F.locate("{", "text"), F.length("text")).alias("text"))
-    plain = plain.select("file_name", F.explode(F.array(F.parse_json("text"))).alias("value"))
+    plain = plain.where((place > opens) & (place < F.col("closing"))).select(_FILE, "file_name", F.substring("text", F.locate("{", "text"), F.length("text")).alias("text"))
+    plain = plain.select(_FILE, "file_name", F.explode(F.array(F.parse_json("text"))).alias("value"))
     odd = odd.join(F.broadcast(frames), _FILE).where((place >= opens) & (place <= F.col("closing")))
     begin = F.when(place == F.col("opens"), F.col("enter")).otherwise(0)
     end = F.when(place != F.col("closing"), F.length("text")).when(place == F.col("opens"), F.col("leave")).otherwise(F.col("close"))
-    odd = odd.select("file_name", (place == F.col("opens")).alias("first"), F.substring("text", begin + 1, end - begin).alias("text"))
+    odd = odd.select(_FILE, "file_name", (place == F.col("opens")).alias("first"), F.substring("text", begin + 1, end - begin).alias("text"))
     # a segment but the first one starts with its comma, so an element is put before it, and dropped again
     body = F.concat(F.when(F.col("first"), "[").otherwise("[0"), F.col("text"), F.lit("]"))
     held = F.variant_get(F.parse_json(body), "$", "array<variant>")
     held = F.when(F.col("first"), held).otherwise(F.slice(held, F.lit(2), F.greatest(F.size(held) - 1, F.lit(0))))
-    return plain.unionByName(odd.select("file_name", F.explode(held).alias("value"))).unionByName(faulty)
+    return plain.unionByName(odd.select(_FILE, "file_name", F.explode(held).alias("value"))).unionByName(faulty)
 
 
 def _headers(every: DataFrame, odd: DataFrame, frames: DataFrame, array: str) -> DataFrame:
@@ -282,8 +282,9 @@ def _headers(every: DataFrame, odd: DataFrame, frames: DataFrame, array: str) ->
     text = F.when(F.col("bytes") > F.col("file_size"), F.expr("left(text, length(text) - 1)")).otherwise(F.col("text"))
     depth = F.col("to_depth") + F.col("bytes") - F.col("file_size")
     doc = F.parse_json(F.when(depth != 0, F.raise_error(F.concat("file_name", F.lit(": brackets do not fit")))).otherwise(text))
-    return rows.select("file_name", "modified_at", doc.alias("doc")).select(
-        "file_name", "modified_at", field("doc", "$.ingested_at").alias("ingested_at"), field("doc", "$.source").alias("source"), F.try_variant_get("doc", "$.total_records", "bigint").alias("total_records")
+    # the filter keeps every row; it has the text looked at even if no field is asked for
+    return rows.select(_FILE, "file_name", "modified_at", doc.alias("doc")).where("doc IS NOT NULL").select(
+        _FILE, "file_name", "modified_at", field("doc", "$.ingested_at").alias("ingested_at"), field("doc", "$.source").alias("source"), F.try_variant_get("doc", "$.total_records", "bigint").alias("total_records")
     )
 
 
@@ -293,7 +294,13 @@ def read_split_envelopes(spark: SparkSession, path: str, pattern: str | None = N
     A file is read by as many tasks as it has splits. Files without the array, or with two, fail when their records are read. A file
     of no bytes is no envelope and is passed over.
     """
-    every = segments(spark, path, pattern)
+    heads, records = split_parts(spark, path, pattern, array)
+    return heads.drop(_FILE), records.drop(_FILE)
+
+
+def split_parts(spark: SparkSession, path: str, pattern: str | None = None, array: str = "data", larger_than: int = -1) -> tuple[DataFrame, DataFrame]:
+    """:func:`read_split_envelopes` of the files of more than ``larger_than`` bytes, with the ``file_path`` of both."""
+    every = segments(spark, path, pattern, larger_than)
     odd = written(_marks(every.where(f"NOT ({_PLAIN})"), array).withColumn("place", F.struct(_SPLIT, "n")), "segments")
     frames = _frames(odd)
     return _headers(every, odd, frames, array), _records(every, odd, frames, array)

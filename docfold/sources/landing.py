@@ -12,11 +12,14 @@ from pyspark.sql import types as T
 from docfold.functions.documents import field
 from docfold.functions.timing import folder_stamp, iso_text, load_time, snapshot_name, utc_now
 from docfold.operators.flatten import elements
+from docfold.sources.envelopes import split_parts
 
 # Each array element becomes a value of its own, so only a single record has to stay below the size limit of a variant.
 ENVELOPE_SCHEMA = "ingested_at string, source string, total_records variant, data array<variant>"
 PAGE_SCHEMA = "results array<variant>, info variant"
 MANIFESTS = "_manifests"
+#: Envelopes of more bytes are read by several tasks each; what is far larger could not be one row, which ends at 2 GB.
+SPLIT_ABOVE = 128 << 20
 
 
 def read_snapshots(spark: SparkSession, path: str, pattern: str | None = None, strict: bool = True) -> DataFrame:
@@ -30,15 +33,37 @@ def read_snapshots(spark: SparkSession, path: str, pattern: str | None = None, s
     )
 
 
-def read_envelopes(spark: SparkSession, path: str, pattern: str | None = None, strict: bool = True) -> DataFrame:
-    """Enveloped files: ``(file_name, modified_at, ingested_at, source, total_records, data, corrupt)``.
+def read_envelopes(spark: SparkSession, path: str, pattern: str | None = None, strict: bool = True, split_above: int = SPLIT_ABOVE) -> DataFrame:
+    """Enveloped files: ``(file_path, file_name, modified_at, ingested_at, source, total_records, data, corrupt)``.
 
-    ``strict`` stops at a malformed file, otherwise its text is kept in ``corrupt``.
+    ``strict`` stops at a malformed file, otherwise its text is kept in ``corrupt``. A file is read as one value and is one row. With
+    ``strict``, one of more than ``split_above`` bytes is read by as many tasks as it has splits, and is one row with its total and no
+    records, and a row without total for each record; its name of the array must be written without escapes.
     """
+    if strict and _any_larger(spark, path, pattern, split_above):
+        small = _json_files(spark, path, ENVELOPE_SCHEMA, pattern, strict, split_above)
+        small = small.withColumn("total_records", F.try_variant_get("total_records", "$", "bigint"))
+        return small.unionByName(_split_envelopes(spark, path, pattern, split_above))
     df = _json_files(spark, path, ENVELOPE_SCHEMA, pattern, strict)
     return df.withColumn("total_records", F.try_variant_get("total_records", "$", "bigint"))
 
 
+def _any_larger(spark: SparkSession, path: str, pattern: str | None, size: int) -> bool:
+    """Whether there is a file of more than ``size`` bytes; contents are not read."""
+    reader = spark.read.format("binaryFile")
+    reader = reader.option("pathGlobFilter", pattern) if pattern else reader
+    return bool(reader.load(path).where(F.col("length") > size).select("length").take(1))
+
+
+def _split_envelopes(spark: SparkSession, path: str, pattern: str | None, larger_than: int) -> DataFrame:
+    """Rows of the large files: their heads without records, then each record."""
+    heads, records = split_parts(spark, path, pattern, larger_than=larger_than)
+    about = heads.select("file_path", "modified_at", "ingested_at", "source")  # one row for each file
+    none = F.filter(F.array(F.parse_json(F.lit("0"))), lambda _: F.lit(False))
+    records = records.join(F.broadcast(about), "file_path").select("*", F.lit(None).cast("bigint").alias("total_records"), F.array("value").alias("data")).drop("value")
+    return heads.withColumn("data", none).unionByName(records).withColumn("corrupt", F.lit(None).cast("string"))
+
+
 def read_pages(spark: SparkSession, path: str, pattern: str | None = None, strict: bool = True) -> DataFrame:
     """Page files named ``..._<page>.json``: ``(file_name, modified_at, page, results, next, corrupt)``."""
     df = _json_files(spark, path, PAGE_SCHEMA, pattern, strict)
@@ -48,7 +73,7 @@ def read_pages(spark: SparkSession, path: str, pattern: str | None = None, stric
     )
 
 
-def _json_files(spark, path, schema, pattern, strict) -> DataFrame:
+def _json_files(spark, path, schema, pattern, strict, at_most=None) -> DataFrame:
     reader = spark.read.option("multiLine", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
@@ -58,7 +83,9 @@ def _json_files(spark, path, schema, pattern, strict) -> DataFrame:
     else:
         df = reader.option("columnNameOfCorruptRecord", "_corrupt").schema(f"{schema}, _corrupt string").json(path)
         corrupt = F.col("_corrupt")
+    df = df if at_most is None else df.where(F.col("_metadata.file_size") <= at_most)
     return df.select(
+        F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_modification_time").alias("modified_at"),
         *[c for c in df.columns if c != "_corrupt"],

@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from docfold.operators.reconcile import reconcile_envelopes
 from docfold.sources.envelopes import _fragments, _pieces, read_split_envelopes
 from docfold.sources.landing import load_raw, read_envelopes
 from tests.test_landing import BROKEN
@@ -110,3 +111,26 @@ def test_several_files_in_one_task_and_pieces_in_several_batches(spark, tmp_path
         spark.conf.set(size, before)
     assert sorted(found) == sorted(want)
     assert heads.count() == 30
+
+
+def test_large_envelopes_are_read_in_parts_and_small_ones_whole(spark, tmp_path):
+    for name, n in (("small", 2), ("large", 40), ("empty", 0)):
+        data = [{"id": i, "text": NASTY[i % len(NASTY)]} for i in range(n)]
+        more = {"more": "x" * 800} if n == 0 else {}
+        (tmp_path / f"{name}.json").write_text(json.dumps({"ingested_at": "t", "source": name, "total_records": max(n, 1), **more, "data": data}))
+    whole = read_envelopes(spark, str(tmp_path))
+    parts = read_envelopes(spark, str(tmp_path), split_above=500)
+    assert parts.columns == whole.columns
+    assert whole.count() == 3 and parts.count() == 1 + 41 + 1
+    show = lambda df: sorted(map(tuple, df.selectExpr("id", "to_json(raw_data)", "source_file").collect()))
+    assert show(load_raw(parts)) == show(load_raw(whole))
+    totals = lambda df: sorted(map(tuple, reconcile_envelopes(df).collect()))
+    assert totals(parts) == totals(whole) == [("empty.json", 1, 0, "FAIL"), ("large.json", 40, 40, "PASS"), ("small.json", 2, 2, "PASS")]
+    about = lambda df: sorted(map(tuple, df.select("file_path", "file_name", "modified_at", "ingested_at", "source").distinct().collect()))
+    assert about(parts) == about(whole)
+
+
+def test_a_large_envelope_that_is_cut_off_fails_whatever_is_read_of_it(spark, tmp_path):
+    (tmp_path / "bad.json").write_text('{"data": [{"id": 1}], "more": {"id": 2}')
+    with pytest.raises(BROKEN):
+        load_raw(read_envelopes(spark, str(tmp_path), split_above=8)).select("id").collect()
